@@ -11,15 +11,19 @@ published examples, not against another implementation.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
-from functools import lru_cache
+import sys
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The functions travel to the Python workers with the job, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PAPER = "paper"
 EXTENDED = "extended"
 MODES = (PAPER, EXTENDED)
@@ -213,9 +217,8 @@ def _tidy(word: str, mode: str) -> str:
     return word
 
 
-@lru_cache(maxsize=1 << 18)
 def stem_word(word: str, mode: str = EXTENDED) -> str:
-    """Stem of one word. The cache lives as long as the Python worker and is bounded."""
+    """Stem of one word."""
     word = word.lower()
     if mode == EXTENDED:
         if word in IRREGULAR:
@@ -231,19 +234,34 @@ def stem_word(word: str, mode: str = EXTENDED) -> str:
     return _tidy(word, mode)
 
 
-def stem_words(words: pa.Array, mode: str = EXTENDED) -> pa.Array:
-    """Stems of a batch of words. Python runs once per distinct word of the batch."""
+class Stems(dict):
+    """Stems by word, made on first use. Starts over when it holds ``limit`` words."""
+
+    def __init__(self, mode: str = EXTENDED, limit: int = 1 << 18) -> None:
+        super().__init__()
+        self.mode = mode
+        self.limit = limit
+
+    def __missing__(self, word: str) -> str:
+        if len(self) >= self.limit:
+            self.clear()
+        found = self[word] = stem_word(word, self.mode)
+        return found
+
+
+def stem_words(words: pa.Array, stems: Stems) -> pa.Array:
+    """Stems of a batch of words, looked up once per distinct word of the batch."""
     coded = words.dictionary_encode()
-    stems = [None if word is None else stem_word(word, mode) for word in coded.dictionary.to_pylist()]
-    return pa.array(stems, pa.string()).take(coded.indices)
+    found = [None if word is None else stems[word] for word in coded.dictionary.to_pylist()]
+    return pa.array(found, pa.string()).take(coded.indices)
 
 
-def stem_lists(lists: pa.Array, mode: str = EXTENDED) -> pa.Array:
+def stem_lists(lists: pa.Array, stems: Stems) -> pa.Array:
     """Stems of a batch of word lists: same lists, order, repeats and nulls."""
-    stems = stem_words(lists.flatten(), mode)
+    words = stem_words(lists.flatten(), stems)
     lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
     offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32())
-    return pa.ListArray.from_arrays(offsets, stems, mask=lists.is_null())
+    return pa.ListArray.from_arrays(offsets, words, mask=lists.is_null())
 
 
 def _check(mode: str) -> None:
@@ -256,8 +274,10 @@ def stem(word: Column, mode: str = EXTENDED) -> Column:
     _check(mode)
 
     @F.arrow_udf("string")
-    def stem_strings(words: pa.Array) -> pa.Array:
-        return stem_words(words, mode)
+    def stem_strings(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        stems = Stems(mode)
+        for words in batches:
+            yield stem_words(words, stems)
 
     return stem_strings(word)
 
@@ -267,7 +287,9 @@ def stem_all(words: Column, mode: str = EXTENDED) -> Column:
     _check(mode)
 
     @F.arrow_udf("array<string>")
-    def stem_arrays(lists: pa.Array) -> pa.Array:
-        return stem_lists(lists, mode)
+    def stem_arrays(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        stems = Stems(mode)
+        for lists in batches:
+            yield stem_lists(lists, stems)
 
     return stem_arrays(words)

@@ -9,7 +9,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewgrove.operators.terms import MIN_DF, VOCAB_SIZE, fit_vocabulary, term_counts
@@ -17,6 +17,7 @@ from reviewgrove.operators.terms import MIN_DF, VOCAB_SIZE, fit_vocabulary, term
 COUNTS_COL = "term_freq"
 # The fitted stage keeps its terms on the driver and on every executor.
 MODEL_LIMIT = 1 << 30
+_SEPARATOR = "\x01"
 
 
 class EmptyVocabularyError(ValueError):
@@ -67,9 +68,7 @@ class TfIdf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, Default
         if vocabulary.n_bytes > MODEL_LIMIT:
             raise ValueError(f"{vocabulary.n_terms} terms take {vocabulary.n_bytes} bytes; lower vocabSize")
         terms = vocabulary.table.orderBy(F.desc("corpus_count"), "term").select("term", "idf").toPandas()
-        counts = CountVectorizerModel.from_vocabulary(
-            terms["term"].tolist(), inputCol=self.getInputCol(), outputCol=COUNTS_COL
-        )
+        counts = counting_model(terms["term"].tolist(), self.getInputCol(), COUNTS_COL)
         weights = ElementwiseProduct(
             scalingVec=Vectors.dense(terms["idf"].to_numpy()),
             inputCol=COUNTS_COL,
@@ -78,6 +77,21 @@ class TfIdf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, Default
         return PipelineModel([counts, weights])
 
 
+def counting_model(terms: list[str], input_col: str, output_col: str) -> CountVectorizerModel:
+    """Model that counts ``terms``, each at its position in the list.
+
+    ``CountVectorizerModel.from_vocabulary`` copies term by term to the JVM, which takes the better part
+    of a minute for a full vocabulary. Here the terms go over as one string.
+    """
+    if any(_SEPARATOR in term or not term for term in terms):
+        return CountVectorizerModel.from_vocabulary(terms, inputCol=input_col, outputCol=output_col)
+    jvm = SparkSession.active()._jvm
+    array = jvm.java.util.regex.Pattern.compile(_SEPARATOR).split(_SEPARATOR.join(terms))
+    model = CountVectorizerModel(jvm.org.apache.spark.ml.feature.CountVectorizerModel(array))
+    model._set(vocabSize=len(terms))
+    return model.setInputCol(input_col).setOutputCol(output_col)
+
+
 def vocabulary_of(model: PipelineModel) -> list[str]:
     """Terms of a fitted pipeline, by vector position."""
     for stage in model.stages:

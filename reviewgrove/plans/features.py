@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewgrove.functions import fields
 from reviewgrove.functions.cleaning import clean_text, fill_missing
-from reviewgrove.functions.stemming import EXTENDED
+from reviewgrove.functions.stemming import EXTENDED, stem_all
 from reviewgrove.functions.tokens import drop_stop_words, stop_words, tokens
 from reviewgrove.operators.stemmer import Stemmer
 from reviewgrove.operators.terms import MIN_DF, VOCAB_SIZE
@@ -65,10 +65,13 @@ def text_stages(stem: bool = True, mode: str = EXTENDED) -> list:
 
 
 def to_words(prepared: DataFrame, stem: bool = True, mode: str = EXTENDED) -> DataFrame:
-    """Apply the text stages and keep only their last column."""
-    steps = text_stages(stem, mode)
-    unused = [step.getOutputCol() for step in steps[:-1]]
-    return PipelineModel(steps).transform(prepared).drop(TEXT, *unused)
+    """Replace the text by the words that ``text_stages`` would give, with column functions only.
+
+    Words are split and filtered inside the generated code; only the stemming goes through Python.
+    """
+    words = drop_stop_words(tokens(F.col(TEXT)), stop_words())
+    named = stem_all(words, mode).alias(WORDS_STEMMED) if stem else words.alias(WORDS_CLEANED)
+    return prepared.select(*[name for name in prepared.columns if name != TEXT], named)
 
 
 def feature_stages(min_df: float = MIN_DF, vocab_size: int = VOCAB_SIZE, stem: bool = True) -> Pipeline:

@@ -183,6 +183,10 @@ def oracle() -> dict[str, str]:
         f"{stemmed_words}, cells AS (SELECT doc_id, stem AS term, count(*)::INT AS tf FROM "
         "(SELECT doc_id, unnest(w) AS term FROM words) JOIN stems USING (term) GROUP BY ALL)"
     )
+    stem_documents = (
+        f"WITH {stemmed_words}, placed AS (SELECT doc_id, unnest(w) AS term, unnest(range(len(w)))::INT AS pos FROM words) "
+        "SELECT doc_id, pos, stem AS term FROM placed JOIN stems USING (term)"
+    )
     json_rows = f"SELECT doc_id, text AS \"reviewText\", ({LABEL})::DOUBLE AS overall FROM documents LEFT JOIN labels USING (doc_id)"
     coded = (
         f"WITH coded AS (SELECT ({LABEL})::INT AS label, count(*) AS n FROM labels GROUP BY ALL) "
@@ -251,10 +255,8 @@ def oracle() -> dict[str, str]:
         "token_counts": f"WITH {cells_cte(all_words)} SELECT doc_id, term, tf FROM cells",
         "token_counts_no_stop": f"WITH {kept_cells} SELECT doc_id, term, tf FROM cells",
         "stem_tokens": f"WITH {stemmed_words} SELECT term, stem FROM stems",
-        "stem_documents": (
-            f"WITH {stemmed_words}, placed AS (SELECT doc_id, unnest(w) AS term, unnest(range(len(w)))::INT AS pos FROM words) "
-            "SELECT doc_id, pos, stem AS term FROM placed JOIN stems USING (term)"
-        ),
+        "stem_documents": stem_documents,
+        "stem_documents_ml": stem_documents,
         "vocabulary": terms,
         "vocabulary_top": f"{terms} ORDER BY corpus_count DESC, term LIMIT 300",
         "vocabulary_shares": (

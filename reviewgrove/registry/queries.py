@@ -14,7 +14,7 @@ from reviewgrove.functions.stemming import stem, stem_all
 from reviewgrove.operators import indexing, split
 from reviewgrove.operators.collapse import collapse_first
 from reviewgrove.operators.scores import accuracy, accuracy_evaluator
-from reviewgrove.operators.terms import Vocabulary, fit_vocabulary, term_counts, weigh
+from reviewgrove.operators.terms import BROADCAST_LIMIT, Vocabulary, fit_vocabulary, term_counts, weigh
 from reviewgrove.operators.vectors import vocabulary_of
 from reviewgrove.plans import job, tuning
 from reviewgrove.plans.features import (
@@ -24,6 +24,7 @@ from reviewgrove.plans.features import (
     TFIDF,
     WORDS,
     WORDS_CLEANED,
+    WORDS_STEMMED,
     builtin_feature_stages,
     feature_stages,
     first_rows,
@@ -279,7 +280,13 @@ def stem_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stem_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT)
-    return _positions(to_words(texts), "words_stemmed")
+    return _positions(to_words(texts), WORDS_STEMMED)
+
+
+@query
+def stem_documents_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT)
+    return _positions(PipelineModel(text_stages()).transform(texts), WORDS_STEMMED)
 
 
 def _vocabulary(spark: SparkSession, sf_dir: str, **limits) -> Vocabulary:
@@ -323,8 +330,10 @@ def tfidf_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _positions_of_terms(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """``indices, term`` of a fitted model; no larger than the model itself."""
-    return spark.createDataFrame(list(enumerate(vocabulary_of(model))), "indices int, term string")
+    """``indices, term`` of a fitted model; no larger than the model, which every executor holds anyway."""
+    terms = vocabulary_of(model)
+    table = spark.createDataFrame(list(enumerate(terms)), "indices int, term string")
+    return F.broadcast(table) if sum(map(len, terms)) <= BROADCAST_LIMIT else table
 
 
 def _long(spark: SparkSession, df: DataFrame, model: PipelineModel) -> DataFrame:
@@ -350,18 +359,20 @@ def tfidf_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(spark, model.transform(texts), model)
 
 
+def _vector_weights(spark: SparkSession, sf_dir: str, stem: bool) -> DataFrame:
+    words = stage(to_words(cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT), stem), "words")
+    model = feature_stages(stem=stem).getStages()[-1].fit(words)
+    return _long(spark, model.transform(words), model)
+
+
 @query
 def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT)
-    model = feature_stages(stem=False).fit(texts)
-    return _long(spark, model.transform(texts), model)
+    return _vector_weights(spark, sf_dir, stem=False)
 
 
 @query
 def tfidf_stemmed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT)
-    model = feature_stages().fit(texts)
-    return _long(spark, model.transform(texts), model)
+    return _vector_weights(spark, sf_dir, stem=True)
 
 
 # Split and indexes

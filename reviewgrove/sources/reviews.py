@@ -79,7 +79,7 @@ def write_partitioned(df: DataFrame, path: str, *columns: str) -> None:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give text work at least one task per core.
+    """Give text work two tasks per core, since long texts make uneven tasks.
 
     Only an input with fewer splits than cores is shuffled, for instance one small file. A large input
     has many splits already and passes through unchanged.
@@ -87,7 +87,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(2 * cores, key)
 
 
 def with_review_id(df: DataFrame, name: str = "doc_id") -> DataFrame:
