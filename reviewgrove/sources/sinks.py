@@ -3,25 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Blanks at either end of a value are part of it, and quotes inside a value are doubled.
+# A missing value is written as nothing, an empty text as a pair of quotes.
 _CSV_OPTIONS = {
     "header": True,
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
     "quote": '"',
     "escape": '"',
-    "emptyValue": '""',
 }
+# What an empty text is read as, so that the reader does not take it for a missing one.
+_EMPTY = "\x00"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**_CSV_OPTIONS).csv(path)
+    df.write.mode("overwrite").options(**_CSV_OPTIONS, emptyValue='""').csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**{**_CSV_OPTIONS, "emptyValue": ""}).csv(path)
+    df = spark.read.schema(schema).options(**_CSV_OPTIONS, emptyValue=_EMPTY).csv(path)
+    texts = [field.name for field in schema.fields if isinstance(field.dataType, T.StringType)]
+    return df.withColumns({name: F.when(F.col(name) == _EMPTY, "").otherwise(F.col(name)) for name in texts})
 
 
 def show(df: DataFrame, rows: int = 20) -> None:
