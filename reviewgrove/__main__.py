@@ -11,8 +11,11 @@ from reviewgrove.session import create_session
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="reviewgrove", description="Learn ratings from review text.")
-    parser.add_argument("input", help="reviews as JSON lines")
+    parser.add_argument("input", help="reviews as JSON lines or Parquet; a glob is fine")
     parser.add_argument("output", nargs="?", help="folder for the best parameters as CSV")
+    parser.add_argument("--format", choices=["json", "parquet"], default="json", help="format of the input")
+    parser.add_argument("--base-path", help="folder above the partition folders of a Parquet input")
+    parser.add_argument("--infer-schema", action="store_true", help="infer the schema of a JSON input")
     parser.add_argument("--local", action="store_true", help="small local session, report to the console")
     parser.add_argument("--test", action="store_true", help="use 100 reviews only")
     parser.add_argument("--with-indexers", action="store_true", help="index labels and features")
@@ -31,6 +34,9 @@ def main() -> None:
         with_indexers=args.with_indexers,
         is_test=args.test,
         is_local=args.local,
+        input_format=args.format,
+        base_path=args.base_path,
+        infer=args.infer_schema,
         grid=GRIDS[args.grid] if args.grid else None,
         min_df=args.min_df,
         vocab_size=args.vocab_size,

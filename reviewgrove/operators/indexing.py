@@ -15,7 +15,8 @@ _BYTES_PER_LABEL = 64
 def label_index(df: DataFrame, label: str = "label") -> DataFrame:
     """``label, idx``: codes by falling frequency, equal ones by the label as text.
 
-    The window runs over one row per distinct label, not over the data.
+    The window runs over one row per distinct label, not over the data. The result is a table to
+    stage when it is used more than once.
     """
     order = Window.orderBy(F.desc("n"), F.col(label).cast("string"))
     return (

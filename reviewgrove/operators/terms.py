@@ -29,6 +29,20 @@ def term_counts(df: DataFrame, words: str | Column, keep: Sequence[str]) -> Data
     return df.select(*keep, F.inline(term_runs(words)))
 
 
+def each_word(df: DataFrame, words: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per word: the kept columns, ``pos``, ``term``.
+
+    In front of a plain explode Spark puts a filter on the size of the array, which computes the array
+    from the text once more. The outer form has no such filter; its rows for empty arrays are dropped.
+    """
+    return df.select(*keep, F.posexplode_outer(words).alias("pos", "term")).filter(F.col("term").isNotNull())
+
+
+def distinct_words(df: DataFrame, words: str) -> DataFrame:
+    """All different words of a corpus as ``term``; each task sends a word once."""
+    return each_word(df, words).select("term").distinct()
+
+
 def _bounds(min_df: float, max_df: float | None, n_docs: int) -> Column:
     """Document-frequency limits; a limit below one is a share of all texts."""
     low = min_df if min_df >= 1 else min_df * n_docs

@@ -16,7 +16,7 @@ from reviewgrove.plans import tuning
 from reviewgrove.plans.features import ID, LABEL, TFIDF, WORDS_STEMMED, prepare, to_words
 from reviewgrove.plans.report import grid_scores, report
 from reviewgrove.session import held, stage
-from reviewgrove.sources.reviews import read_reviews_json
+from reviewgrove.sources.reviews import read_reviews
 from reviewgrove.sources.sinks import show, write_csv
 
 FOLD = "fold"
@@ -98,13 +98,16 @@ def run(
     with_indexers: bool = False,
     is_test: bool = False,
     is_local: bool = False,
+    input_format: str = "json",
+    base_path: str | None = None,
+    infer: bool = False,
     **options,
 ) -> JobResult:
-    """Read reviews from JSON lines, learn, and report the best parameters.
+    """Read reviews, learn, and report the best parameters. ``options`` are those of ``learn``.
 
     On a cluster the report goes to ``output_path`` as CSV with a header, locally to the console.
     """
-    reviews = read_reviews_json(spark, input_path)
+    reviews = read_reviews(spark, input_path, input_format, base_path, infer)
     result = learn(reviews, with_indexers=with_indexers, is_test=is_test, **options)
     if is_local:
         show(result.report)

@@ -14,7 +14,15 @@ from reviewgrove.functions.stemming import stem, stem_all
 from reviewgrove.operators import indexing, split
 from reviewgrove.operators.collapse import collapse_first
 from reviewgrove.operators.scores import accuracy, accuracy_evaluator
-from reviewgrove.operators.terms import BROADCAST_LIMIT, Vocabulary, fit_vocabulary, term_counts, weigh
+from reviewgrove.operators.terms import (
+    BROADCAST_LIMIT,
+    Vocabulary,
+    distinct_words,
+    each_word,
+    fit_vocabulary,
+    term_counts,
+    weigh,
+)
 from reviewgrove.operators.vectors import vocabulary_of
 from reviewgrove.plans import job, tuning
 from reviewgrove.plans.features import (
@@ -236,7 +244,7 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _positions(df: DataFrame, words: str) -> DataFrame:
-    return df.select(ID, F.posexplode(words).alias("pos", "term"))
+    return each_word(df, words, keep=[ID])
 
 
 @query
@@ -273,7 +281,7 @@ def token_counts_no_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stem_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = words_of(cleaned(spark, sf_dir), CLEAN).select(F.explode(WORDS).alias("term")).distinct()
+    words = distinct_words(words_of(cleaned(spark, sf_dir), CLEAN), WORDS)
     return words.withColumn("stem", stem(F.col("term")))
 
 
@@ -413,7 +421,7 @@ def label_index_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def label_unindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _labelled(spark, sf_dir)
-    index = indexing.label_index(rows)
+    index = stage(indexing.label_index(rows), "label-index")
     coded = rows.join(index, LABEL).select(ID, F.col("idx").alias("prediction"))
     return indexing.label_unindex(coded, index, "prediction", "predictedLabel").select(ID, "predictedLabel")
 

@@ -46,6 +46,17 @@ def read_reviews_json(
     return spark.read.schema(schema).json(path)
 
 
+def read_reviews(
+    spark: SparkSession, path: str, input_format: str = "json", base_path: str | None = None, infer: bool = False
+) -> DataFrame:
+    """Scan reviews in one of the two formats."""
+    if input_format == "json":
+        return read_reviews_json(spark, path, schema=None if infer else REVIEW_SCHEMA)
+    if input_format == "parquet":
+        return read_reviews_parquet(spark, path, base_path)
+    raise ValueError(f"input format is json or parquet, not {input_format!r}")
+
+
 def write_reviews_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

@@ -82,6 +82,19 @@ def test_command_line(spark, reviews_path, tmp_path, monkeypatch):
     assert spark.read.option("header", True).csv(out).count() == 1
 
 
+def test_parquet_input(spark, reviews_path, tmp_path):
+    source = str(tmp_path / "books")
+    df = spark.read.json(reviews_path).withColumn("product_category", F.lit("Books"))
+    df.write.partitionBy("product_category").parquet(source)
+    from_json = job.run(spark, reviews_path, str(tmp_path / "a"), grid=GRID, infer=True)
+    from_parquet = job.run(
+        spark, f"{source}/product_category=Books/*.parquet", str(tmp_path / "b"), grid=GRID, input_format="parquet"
+    )
+    assert from_parquet.accuracy.first().n_test == from_json.accuracy.first().n_test
+    with pytest.raises(ValueError, match="json or parquet"):
+        job.run(spark, source, None, input_format="xml")
+
+
 def test_command_line_needs_an_output(monkeypatch):
     monkeypatch.setattr("sys.argv", ["reviewgrove", "in.json"])
     with pytest.raises(SystemExit):

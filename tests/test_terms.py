@@ -160,3 +160,16 @@ def test_stages_can_be_saved(spark, corpus, tmp_path):
     loaded = PipelineModel.load(str(tmp_path / "model"))
     assert len(vocabulary_of(loaded)) <= 20
     assert _weights(loaded, df) == pytest.approx(_weights(model, df))
+
+
+def test_each_word(spark):
+    df = spark.createDataFrame([(1, ["b", "a", "b"]), (2, []), (3, None)], "doc_id int, w array<string>")
+    assert [tuple(r) for r in terms.each_word(df, "w", keep=["doc_id"]).collect()] == [(1, 0, "b"), (1, 1, "a"), (1, 2, "b")]
+    assert sorted(r.term for r in terms.distinct_words(df, "w").collect()) == ["a", "b"]
+
+
+def test_words_are_computed_once(spark, capsys):
+    df = to_words(spark.createDataFrame([(1, "the cats run")], f"doc_id int, {TEXT} string"))
+    for plan in (terms.each_word(df, WORDS_STEMMED), terms.term_counts(df, WORDS_STEMMED, keep=["doc_id"])):
+        plan.explain()
+        assert capsys.readouterr().out.count("stem_arrays(") == 1
