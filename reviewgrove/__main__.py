@@ -21,6 +21,7 @@ def main() -> None:
     parser.add_argument("--with-indexers", action="store_true", help="index labels and features")
     parser.add_argument("--grid", choices=sorted(GRIDS), help="named parameter grid")
     parser.add_argument("--min-df", type=float, default=10.0)
+    parser.add_argument("--max-df", type=float)
     parser.add_argument("--vocab-size", type=int, default=1 << 18)
     parser.add_argument("--parallelism", type=int, default=4, help="models trained at a time")
     args = parser.parse_args()
@@ -39,6 +40,7 @@ def main() -> None:
         infer=args.infer_schema,
         grid=GRIDS[args.grid] if args.grid else None,
         min_df=args.min_df,
+        max_df=args.max_df,
         vocab_size=args.vocab_size,
         parallelism=args.parallelism,
     )

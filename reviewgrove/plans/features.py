@@ -74,11 +74,19 @@ def to_words(prepared: DataFrame, stem: bool = True, mode: str = EXTENDED) -> Da
     return prepared.select(*[name for name in prepared.columns if name != TEXT], named)
 
 
-def feature_stages(min_df: float = MIN_DF, vocab_size: int = VOCAB_SIZE, stem: bool = True) -> Pipeline:
+def weight_stage(
+    min_df: float = MIN_DF, vocab_size: int = VOCAB_SIZE, stem: bool = True, max_df: float | None = None
+) -> TfIdf:
+    """The stage that learns vocabulary and weights."""
+    stage = TfIdf(inputCol=WORDS_STEMMED if stem else WORDS_CLEANED, outputCol=TFIDF, minDF=min_df, vocabSize=vocab_size)
+    return stage if max_df is None else stage.setParams(maxDF=max_df)
+
+
+def feature_stages(
+    min_df: float = MIN_DF, vocab_size: int = VOCAB_SIZE, stem: bool = True, max_df: float | None = None
+) -> Pipeline:
     """Text to TF-IDF as one estimator."""
-    last = WORDS_STEMMED if stem else WORDS_CLEANED
-    weights = TfIdf(inputCol=last, outputCol=TFIDF, minDF=min_df, vocabSize=vocab_size)
-    return Pipeline(stages=[*text_stages(stem), weights])
+    return Pipeline(stages=[*text_stages(stem), weight_stage(min_df, vocab_size, stem, max_df)])
 
 
 def builtin_feature_stages(min_df: float = MIN_DF, vocab_size: int = VOCAB_SIZE, stem: bool = True) -> Pipeline:

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from reviewgrove.operators.scores import accuracy
 from reviewgrove.operators.split import TEST, TRAIN, fold, part
 from reviewgrove.operators.terms import MIN_DF, VOCAB_SIZE
-from reviewgrove.operators.vectors import TfIdf
 from reviewgrove.plans import tuning
-from reviewgrove.plans.features import ID, LABEL, TFIDF, WORDS_STEMMED, prepare, to_words
+from reviewgrove.plans.features import ID, LABEL, TFIDF, prepare, to_words, weight_stage
 from reviewgrove.plans.report import grid_scores, report
 from reviewgrove.session import held, stage
 from reviewgrove.sources.reviews import read_reviews
@@ -56,6 +55,7 @@ def learn(
     grid: tuning.Grid | None = None,
     min_df: float = MIN_DF,
     vocab_size: int = VOCAB_SIZE,
+    max_df: float | None = None,
     fit_on_all: bool = False,
     parallelism: int = 4,
     seed: int = 123,
@@ -70,7 +70,7 @@ def learn(
     words = split_words(reviews, grid.folds, is_test)
     tuning.check_labels(words)
     fit_rows = words if fit_on_all else words.filter(F.col(PART) == TRAIN)
-    features_model = TfIdf(inputCol=WORDS_STEMMED, outputCol=TFIDF, minDF=min_df, vocabSize=vocab_size).fit(fit_rows)
+    features_model = weight_stage(min_df, vocab_size, max_df=max_df).fit(fit_rows)
     features = features_model.transform(words).select(ID, LABEL, FOLD, PART, TFIDF)
     with held(features.filter(F.col(PART) == TRAIN).drop(PART)) as train:
         if with_indexers:

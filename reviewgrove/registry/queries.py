@@ -34,10 +34,10 @@ from reviewgrove.plans.features import (
     WORDS_CLEANED,
     WORDS_STEMMED,
     builtin_feature_stages,
-    feature_stages,
     first_rows,
     text_stages,
     to_words,
+    weight_stage,
     words_of,
 )
 from reviewgrove.registry.tables import RECORD_SCHEMA, documents, labels, overall, reviews, side_columns
@@ -369,7 +369,7 @@ def tfidf_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _vector_weights(spark: SparkSession, sf_dir: str, stem: bool) -> DataFrame:
     words = stage(to_words(cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT), stem), "words")
-    model = feature_stages(stem=stem).getStages()[-1].fit(words)
+    model = weight_stage(stem=stem).fit(words)
     return _long(spark, model.transform(words), model)
 
 
@@ -445,7 +445,7 @@ def feature_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def feature_categories_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = stage(to_words(cleaned_reviews(spark, sf_dir), stem=False), "words")
-    model = feature_stages(stem=False).getStages()[-1].fit(words)
+    model = weight_stage(stem=False).fit(words)
     indexer = VectorIndexer(inputCol=TFIDF, outputCol="indexed", maxCategories=indexing.MAX_CATEGORIES)
     maps = indexer.fit(model.transform(words)).categoryMaps
     rows = [(term, i in maps) for i, term in enumerate(vocabulary_of(model))]
@@ -459,7 +459,7 @@ def feature_categories_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = job.split_words(reviews(spark, sf_dir), folds=2)
     train, test = (words.filter(F.col(job.PART) == part) for part in (split.TRAIN, split.TEST))
-    weights = feature_stages().getStages()[-1].fit(train)
+    weights = weight_stage().fit(train)
     model = tuning.forest(numTrees=5, maxDepth=5).fit(weights.transform(train))
     return accuracy(model.transform(weights.transform(test)))
 

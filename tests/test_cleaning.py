@@ -1,4 +1,4 @@
-"""Cleaning: fixed results, and the fast form against the fixed patterns."""
+"""Cleaning: fixed results, and every step against its fixed pattern."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reviewgrove.functions import cleaning
@@ -20,7 +21,22 @@ EDGES = [
 ]
 
 
-@pytest.mark.parametrize("clean", [cleaning.clean_text, cleaning.clean_text_stepwise])
+FIXED = (cleaning.EMAIL, cleaning.BREAK, cleaning.DIGIT_TOKEN, cleaning.SINGLE_LETTER, cleaning.NON_WORD)
+
+
+def fixed_steps(text: Column) -> Column:
+    for pattern in FIXED:
+        text = F.regexp_replace(text, pattern, " ")
+    return F.lower(text)
+
+
+def all_steps(text: Column) -> Column:
+    for step in cleaning.STEPS:
+        text = step(text)
+    return text
+
+
+@pytest.mark.parametrize("clean", [cleaning.clean_text, all_steps, fixed_steps])
 def test_edge_rows(spark, clean):
     df = spark.createDataFrame(EDGES, "text string, expected string")
     got = df.select("expected", cleaning.fill_missing(clean(F.col("text"))).alias("got")).collect()
@@ -46,23 +62,36 @@ def _random_texts(n: int) -> list[str]:
     return texts
 
 
-def test_fast_form_equals_fixed_patterns(spark):
-    df = spark.createDataFrame([(t,) for t in _random_texts(40_000)], "text string").repartition(4)
-    wrong = df.select(
-        "text",
-        cleaning.clean_text(F.col("text")).alias("fast"),
-        cleaning.clean_text_stepwise(F.col("text")).alias("fixed"),
-    ).filter("fast != fixed")
-    assert wrong.take(3) == []
+@pytest.fixture(scope="module")
+def texts(spark):
+    return spark.createDataFrame([(t,) for t in _random_texts(40_000)], "text string").repartition(4).persist()
+
+
+def _same(df, left, right):
+    differing = df.select("text", left.alias("left"), right.alias("right")).filter("NOT left <=> right")
+    assert differing.take(3) == []
+
+
+def test_whole_equals_fixed_patterns(texts):
+    _same(texts, cleaning.clean_text(F.col("text")), fixed_steps(F.col("text")))
+
+
+@pytest.mark.parametrize("step, pattern", list(zip(cleaning.STEPS, FIXED)))
+def test_step_equals_its_fixed_pattern(texts, step, pattern):
+    _same(texts, step(F.col("text")), F.regexp_replace("text", pattern, " "))
+
+
+LONG = ["x" * 400_000, "жы " * 150_000, "-" * 400_000, ". " * 200_000, "a " * 200_000, "@" * 400_000, "a@" * 200_000, "é" * 400_000]
 
 
-def test_long_runs_take_linear_time(spark):
-    texts = ["x" * 400_000, "жы " * 150_000, "-" * 400_000, ". " * 200_000, "a " * 200_000, "@" * 400_000, "é" * 400_000]
-    df = spark.createDataFrame([(t,) for t in texts], "text string")
+@pytest.mark.parametrize("clean", [cleaning.clean_text, *cleaning.STEPS])
+def test_long_runs_take_linear_time(spark, clean):
+    df = spark.createDataFrame([(t,) for t in LONG], "text string")
     start = time.monotonic()
-    lengths = df.select(F.length(cleaning.clean_text(F.col("text"))).alias("n")).collect()
+    lengths = df.select(F.length(clean(F.col("text"))).alias("n")).collect()
     assert time.monotonic() - start < 20
-    assert [row.n for row in lengths] == [400_000, 1, 1, 1, 200_000, 1, 1]
+    if clean is cleaning.clean_text:
+        assert [row.n for row in lengths] == [400_000, 1, 1, 1, 200_000, 1, 400_000, 1]
 
 
 def test_steps_alone(spark):

@@ -120,6 +120,13 @@ def test_pipeline_equals_builtin_stages(spark, corpus, stem):
     assert sorted(vocabulary_of(ours)) == sorted(vocabulary_of(builtin))
 
 
+def test_upper_limit(spark, corpus):
+    df = _texts(spark, corpus)
+    frequencies, _ = _frequencies(corpus)
+    model = feature_stages(min_df=5, max_df=0.2, stem=False).fit(df)
+    assert set(vocabulary_of(model)) == {t for t in frequencies if 5 <= frequencies[t] <= 60}
+
+
 def test_positions_follow_count_then_term(spark, corpus):
     _, total = _frequencies(corpus)
     df = spark.createDataFrame([(w,) for w in corpus], "w array<string>")
