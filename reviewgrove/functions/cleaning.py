@@ -29,6 +29,7 @@ _SINGLE_LETTER = r"((?:^|\w)[^\w\s]*+)\s\W*+\w\W*\s"
 # A gap, with a one-letter word and the gap behind it if there is one. Every gap becomes a space here,
 # so this fits only where NON_WORD follows.
 _GAP_WITH_SINGLE_LETTER = r"\s\W*+(?:\w\W*\s)?+"
+_DIGIT = r"\d"
 
 
 def strip_email(text: Column) -> Column:
@@ -43,7 +44,7 @@ def strip_breaks(text: Column) -> Column:
 
 def strip_digit_tokens(text: Column) -> Column:
     """Drop tokens that hold a digit."""
-    return F.regexp_replace(text, _DIGIT_TOKEN, "$1 ")
+    return F.when(text.rlike(_DIGIT), F.regexp_replace(text, _DIGIT_TOKEN, "$1 ")).otherwise(text)
 
 
 def strip_single_letters(text: Column) -> Column:
@@ -62,15 +63,24 @@ def collapse_non_word(text: Column) -> Column:
 STEPS = (strip_email, strip_breaks, strip_digit_tokens, strip_single_letters, collapse_non_word, F.lower)
 
 
+def _strip_tokens(text: Column) -> Column:
+    """The first three steps, but for breaks, which the last pattern takes with every other gap."""
+    no_email = strip_email(text)
+    return F.when(text.rlike(_DIGIT), strip_digit_tokens(no_email)).otherwise(no_email)
+
+
+def _strip_single_letters_and_gaps(text: Column) -> Column:
+    return F.regexp_replace(_strip_tokens(text), _GAP_WITH_SINGLE_LETTER, " ")
+
+
 def clean_text(text: Column) -> Column:
-    """All steps in order.
+    """All steps in order. One-letter words are found together with the gaps around them."""
+    return F.lower(collapse_non_word(_strip_single_letters_and_gaps(text)))
 
-    Breaks need no pass of their own, since the last pattern takes every gap, and one-letter words are
-    found together with the gaps, which is faster than ``strip_single_letters``.
-    """
-    tokens = strip_digit_tokens(strip_email(text))
-    words = F.regexp_replace(tokens, _GAP_WITH_SINGLE_LETTER, " ")
-    return F.lower(collapse_non_word(words))
+
+def clean_words(text: Column) -> Column:
+    """The words of ``clean_text(text)`` as an array, split at the gaps without building the clean text."""
+    return F.array_remove(F.split(F.lower(_strip_single_letters_and_gaps(text)), NON_WORD), "")
 
 
 def fill_missing(text: Column) -> Column:

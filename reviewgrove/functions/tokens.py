@@ -1,4 +1,4 @@
-"""Token arrays: split, stop words, counts per text. All inside the JVM and without a shuffle."""
+"""Token arrays: split of a cleaned text, stop words, counts per text. All inside the JVM and without a shuffle."""
 
 from __future__ import annotations
 

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewgrove.functions import fields
-from reviewgrove.functions.cleaning import clean_text, fill_missing
+from reviewgrove.functions.cleaning import clean_text, clean_words, fill_missing
 from reviewgrove.functions.stemming import EXTENDED, stem_all
-from reviewgrove.functions.tokens import drop_stop_words, stop_words, tokens
+from reviewgrove.functions.tokens import drop_stop_words, stop_words
 from reviewgrove.operators.stemmer import Stemmer
 from reviewgrove.operators.terms import MIN_DF, VOCAB_SIZE
 from reviewgrove.operators.vectors import COUNTS_COL, TfIdf
@@ -31,16 +31,18 @@ def first_rows(df: DataFrame, rows: int = TEST_ROWS, key: str = ID) -> DataFrame
     return df.orderBy(key).limit(rows)
 
 
+def _identified(reviews: DataFrame, is_test: bool) -> DataFrame:
+    """Review records with an id, added where they have none."""
+    df = with_review_id(reviews, ID)
+    return first_rows(df) if is_test else df
+
+
 def prepare(reviews: DataFrame, is_test: bool = False) -> DataFrame:
     """``doc_id, reviewText, label`` with the text cleaned, from review records.
 
-    An id is added where the records have none. The trial limit comes before the cleaning, which
-    works row by row, so the other rows are not cleaned at all.
+    The trial limit comes before the cleaning, which works row by row, so no other rows are cleaned.
     """
-    df = with_review_id(reviews, ID)
-    if is_test:
-        df = first_rows(df)
-    return df.select(
+    return _identified(reviews, is_test).select(
         ID,
         fill_missing(clean_text(F.col(TEXT))).alias(TEXT),
         fields.label(F.col("overall")).alias(LABEL),
@@ -48,9 +50,20 @@ def prepare(reviews: DataFrame, is_test: bool = False) -> DataFrame:
 
 
 def words_of(df: DataFrame, text: str = TEXT, stops: bool = True) -> DataFrame:
-    """Add ``words`` to a table with a cleaned text, without the stop words unless told otherwise."""
-    words = tokens(F.col(text))
-    return df.withColumn(WORDS, drop_stop_words(words, stop_words()) if stops else words)
+    """Replace a text, not cleaned yet, by its ``words``, without the stop words unless told otherwise."""
+    words = clean_words(fill_missing(F.col(text)))
+    kept = drop_stop_words(words, stop_words()) if stops else words
+    return df.select(*[name for name in df.columns if name != text], kept.alias(WORDS))
+
+
+def review_words(reviews: DataFrame, is_test: bool = False) -> DataFrame:
+    """``doc_id, label, words_stemmed`` from review records, with column functions only.
+
+    The words are those of ``text_stages`` on the table of ``prepare``. Splitting and stop words stay in
+    the JVM; only the stemming goes through Python.
+    """
+    df = _identified(reviews, is_test).select(ID, fields.label(F.col("overall")).alias(LABEL), TEXT)
+    return words_of(df).select(ID, LABEL, stem_all(F.col(WORDS)).alias(WORDS_STEMMED))
 
 
 def text_stages(stem: bool = True, mode: str = EXTENDED) -> list:
@@ -64,16 +77,6 @@ def text_stages(stem: bool = True, mode: str = EXTENDED) -> list:
     return stages
 
 
-def to_words(prepared: DataFrame, stem: bool = True, mode: str = EXTENDED) -> DataFrame:
-    """Replace the text by the words that ``text_stages`` would give, with column functions only.
-
-    Words are split and filtered inside the generated code; only the stemming goes through Python.
-    """
-    words = drop_stop_words(tokens(F.col(TEXT)), stop_words())
-    named = stem_all(words, mode).alias(WORDS_STEMMED) if stem else words.alias(WORDS_CLEANED)
-    return prepared.select(*[name for name in prepared.columns if name != TEXT], named)
-
-
 def weight_stage(
     min_df: float = MIN_DF, vocab_size: int = VOCAB_SIZE, stem: bool = True, max_df: float | None = None
 ) -> TfIdf:

@@ -12,7 +12,7 @@ from reviewgrove.operators.scores import accuracy
 from reviewgrove.operators.split import TEST, TRAIN, fold, part
 from reviewgrove.operators.terms import MIN_DF, VOCAB_SIZE
 from reviewgrove.plans import tuning
-from reviewgrove.plans.features import ID, LABEL, TFIDF, prepare, to_words, weight_stage
+from reviewgrove.plans.features import ID, LABEL, TFIDF, review_words, weight_stage
 from reviewgrove.plans.report import grid_scores, report
 from reviewgrove.session import held, stage
 from reviewgrove.sources.reviews import read_reviews
@@ -40,7 +40,7 @@ def split_words(reviews: DataFrame, folds: int, is_test: bool = False) -> DataFr
     This is the only pass over the raw text and the only one through Python. Everything later reads
     the written table, and the parts are picked by directory.
     """
-    words = to_words(prepare(reviews, is_test))
+    words = review_words(reviews, is_test)
     return stage(
         words.withColumns({PART: part(F.col(ID)), FOLD: fold(F.col(ID), folds)}),
         "words",

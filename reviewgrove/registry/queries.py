@@ -23,7 +23,7 @@ from reviewgrove.operators.terms import (
     term_counts,
     weigh,
 )
-from reviewgrove.operators.vectors import vocabulary_of
+from reviewgrove.operators.vectors import TfIdf, vocabulary_of
 from reviewgrove.plans import job, tuning
 from reviewgrove.plans.features import (
     ID,
@@ -36,7 +36,6 @@ from reviewgrove.plans.features import (
     builtin_feature_stages,
     first_rows,
     text_stages,
-    to_words,
     weight_stage,
     words_of,
 )
@@ -61,31 +60,31 @@ def query(function: Query) -> Query:
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = documents(spark, sf_dir, "text")
-    return df.select(ID, cleaning.fill_missing(cleaning.clean_text(F.col("text"))).alias(CLEAN))
+    """``doc_id, reviewText`` of all documents, cleaned."""
+    text = cleaning.fill_missing(cleaning.clean_text(F.col("text")))
+    return documents(spark, sf_dir, "text").select(ID, text.alias(TEXT))
 
 
-def cleaned_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, reviewText, label`` of the labelled documents, cleaned."""
-    return reviews(spark, sf_dir).select(
-        ID,
-        cleaning.fill_missing(cleaning.clean_text(F.col(TEXT))).alias(TEXT),
-        fields.label(F.col("overall")).alias(LABEL),
-    )
+def words(spark: SparkSession, sf_dir: str, stops: bool = True, stemmed: bool = False) -> DataFrame:
+    """``doc_id, words`` of all documents."""
+    df = words_of(documents(spark, sf_dir, "text"), "text", stops)
+    return df.withColumn(WORDS, stem_all(F.col(WORDS))) if stemmed else df
+
+
+def labelled_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, label, words`` of the labelled documents."""
+    rated = reviews(spark, sf_dir)
+    return words_of(rated.select(ID, fields.label(F.col("overall")).alias(LABEL), TEXT))
 
 
 def counted(spark: SparkSession, sf_dir: str, stemmed: bool = False) -> DataFrame:
     """Long term counts of all documents without stop words, written once."""
-    words = words_of(cleaned(spark, sf_dir), CLEAN)
-    if stemmed:
-        words = words.withColumn(WORDS, stem_all(F.col(WORDS)))
-    return stage(term_counts(words, WORDS, keep=[ID]), "cells")
+    return stage(term_counts(words(spark, sf_dir, stemmed=stemmed), WORDS, keep=[ID]), "cells")
 
 
 def labelled_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long term counts of the labelled documents, written once."""
-    words = words_of(cleaned_reviews(spark, sf_dir))
-    return stage(term_counts(words, WORDS, keep=[ID, LABEL]), "cells")
+    return stage(term_counts(labelled_words(spark, sf_dir), WORDS, keep=[ID, LABEL]), "cells")
 
 
 def n_documents(spark: SparkSession, sf_dir: str) -> int:
@@ -243,62 +242,54 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Tokens, counts, weights
 
 
-def _positions(df: DataFrame, words: str) -> DataFrame:
-    return each_word(df, words, keep=[ID])
-
-
 @query
 def tokenise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _positions(words_of(cleaned(spark, sf_dir), CLEAN, stops=False), WORDS)
+    return each_word(words(spark, sf_dir, stops=False), WORDS, keep=[ID])
 
 
 @query
 def tokenise_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT)
-    return _positions(text_stages(stem=False)[0].transform(texts), WORDS)
+    return each_word(text_stages()[0].transform(cleaned(spark, sf_dir)), WORDS, keep=[ID])
 
 
 @query
 def remove_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _positions(words_of(cleaned(spark, sf_dir), CLEAN), WORDS)
+    return each_word(words(spark, sf_dir), WORDS, keep=[ID])
 
 
 @query
 def remove_stop_words_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT)
-    return _positions(PipelineModel(text_stages(stem=False)).transform(texts), WORDS_CLEANED)
+    stages = PipelineModel(text_stages(stem=False))
+    return each_word(stages.transform(cleaned(spark, sf_dir)), WORDS_CLEANED, keep=[ID])
 
 
 @query
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return term_counts(words_of(cleaned(spark, sf_dir), CLEAN, stops=False), WORDS, keep=[ID])
+    return term_counts(words(spark, sf_dir, stops=False), WORDS, keep=[ID])
 
 
 @query
 def token_counts_no_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return term_counts(words_of(cleaned(spark, sf_dir), CLEAN), WORDS, keep=[ID])
+    return term_counts(words(spark, sf_dir), WORDS, keep=[ID])
 
 
 @query
 def stem_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = distinct_words(words_of(cleaned(spark, sf_dir), CLEAN), WORDS)
-    return words.withColumn("stem", stem(F.col("term")))
+    return distinct_words(words(spark, sf_dir), WORDS).withColumn("stem", stem(F.col("term")))
 
 
 @query
 def stem_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT)
-    return _positions(to_words(texts), WORDS_STEMMED)
+    return each_word(words(spark, sf_dir, stemmed=True), WORDS, keep=[ID])
 
 
 @query
 def stem_documents_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT)
-    return _positions(PipelineModel(text_stages()).transform(texts), WORDS_STEMMED)
+    return each_word(PipelineModel(text_stages()).transform(cleaned(spark, sf_dir)), WORDS_STEMMED, keep=[ID])
 
 
 def _vocabulary(spark: SparkSession, sf_dir: str, **limits) -> Vocabulary:
-    cells = term_counts(words_of(cleaned(spark, sf_dir), CLEAN), WORDS, keep=[])
+    cells = term_counts(words(spark, sf_dir), WORDS, keep=[])
     return fit_vocabulary(cells, n_documents(spark, sf_dir), **limits)
 
 
@@ -362,15 +353,15 @@ def _long(spark: SparkSession, df: DataFrame, model: PipelineModel) -> DataFrame
 
 @query
 def tfidf_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = stage(cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT), "texts")
+    texts = stage(cleaned(spark, sf_dir), "texts")
     model = builtin_feature_stages(stem=False).fit(texts)
     return _long(spark, model.transform(texts), model)
 
 
 def _vector_weights(spark: SparkSession, sf_dir: str, stem: bool) -> DataFrame:
-    words = stage(to_words(cleaned(spark, sf_dir).withColumnRenamed(CLEAN, TEXT), stem), "words")
-    model = weight_stage(stem=stem).fit(words)
-    return _long(spark, model.transform(words), model)
+    rows = stage(words(spark, sf_dir, stemmed=stem), "words")
+    model = TfIdf(inputCol=WORDS, outputCol=TFIDF).fit(rows)
+    return _long(spark, model.transform(rows), model)
 
 
 @query
@@ -444,12 +435,12 @@ def feature_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feature_categories_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = stage(to_words(cleaned_reviews(spark, sf_dir), stem=False), "words")
-    model = weight_stage(stem=False).fit(words)
+    rows = stage(labelled_words(spark, sf_dir), "words")
+    model = TfIdf(inputCol=WORDS, outputCol=TFIDF).fit(rows)
     indexer = VectorIndexer(inputCol=TFIDF, outputCol="indexed", maxCategories=indexing.MAX_CATEGORIES)
-    maps = indexer.fit(model.transform(words)).categoryMaps
-    rows = [(term, i in maps) for i, term in enumerate(vocabulary_of(model))]
-    return spark.createDataFrame(rows, "term string, is_categorical boolean")
+    maps = indexer.fit(model.transform(rows)).categoryMaps
+    found = [(term, i in maps) for i, term in enumerate(vocabulary_of(model))]
+    return spark.createDataFrame(found, "term string, is_categorical boolean")
 
 
 # Learning, tuning, report
@@ -457,8 +448,8 @@ def feature_categories_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def forest_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = job.split_words(reviews(spark, sf_dir), folds=2)
-    train, test = (words.filter(F.col(job.PART) == part) for part in (split.TRAIN, split.TEST))
+    rows = job.split_words(reviews(spark, sf_dir), folds=2)
+    train, test = (rows.filter(F.col(job.PART) == part) for part in (split.TRAIN, split.TEST))
     weights = weight_stage().fit(train)
     model = tuning.forest(numTrees=5, maxDepth=5).fit(weights.transform(train))
     return accuracy(model.transform(weights.transform(test)))

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reviewgrove.functions import cleaning
+from reviewgrove.functions.tokens import tokens
 
 EDGES = [
     ("mail a@b.com now end x@y.org", "mail now end x y org"),
@@ -81,10 +82,14 @@ def test_step_equals_its_fixed_pattern(texts, step, pattern):
     _same(texts, step(F.col("text")), F.regexp_replace("text", pattern, " "))
 
 
+def test_words_equal_those_of_the_clean_text(texts):
+    _same(texts, cleaning.clean_words(F.col("text")), tokens(cleaning.clean_text(F.col("text"))))
+
+
 LONG = ["x" * 400_000, "жы " * 150_000, "-" * 400_000, ". " * 200_000, "a " * 200_000, "@" * 400_000, "a@" * 200_000, "é" * 400_000]
 
 
-@pytest.mark.parametrize("clean", [cleaning.clean_text, *cleaning.STEPS])
+@pytest.mark.parametrize("clean", [cleaning.clean_text, *cleaning.STEPS, lambda t: F.array_join(cleaning.clean_words(t), " ")])
 def test_long_runs_take_linear_time(spark, clean):
     df = spark.createDataFrame([(t,) for t in LONG], "text string")
     start = time.monotonic()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reviewgrove.operators import terms
 from reviewgrove.operators.vectors import EmptyVocabularyError, TfIdf, counting_model, vocabulary_of
-from reviewgrove.plans.features import TEXT, WORDS_STEMMED, builtin_feature_stages, feature_stages, text_stages, to_words
+from reviewgrove.plans.features import TEXT, WORDS_STEMMED, builtin_feature_stages, feature_stages, prepare, review_words, text_stages
 
 
 def _corpus(n=300, seed=5):
@@ -137,12 +137,12 @@ def test_positions_follow_count_then_term(spark, corpus):
 
 
 def test_column_functions_equal_the_text_stages(spark):
-    df = spark.createDataFrame([(1, "the cats run happily"), (2, ""), (3, " a null")], f"doc_id int, {TEXT} string")
-    ml = PipelineModel(text_stages()).transform(df)
-    assert [r[WORDS_STEMMED] for r in to_words(df).orderBy("doc_id").collect()] == [
-        r[WORDS_STEMMED] for r in ml.orderBy("doc_id").collect()
-    ]
-    assert to_words(df).columns == ["doc_id", WORDS_STEMMED]
+    rows = [(1, "The cats, a run 5pm me@x.org happily\n", 5.0), (2, "", 1.0), (3, " a null", 2.0), (4, None, 3.9)]
+    df = spark.createDataFrame(rows, f"doc_id int, {TEXT} string, overall double")
+    ml = PipelineModel(text_stages()).transform(prepare(df)).select("doc_id", "label", WORDS_STEMMED)
+    ours = review_words(df)
+    assert ours.columns == ml.columns
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ml.collect()))
 
 
 def test_too_few_texts(spark):
@@ -176,7 +176,7 @@ def test_each_word(spark):
 
 
 def test_words_are_computed_once(spark, capsys):
-    df = to_words(spark.createDataFrame([(1, "the cats run")], f"doc_id int, {TEXT} string"))
+    df = review_words(spark.createDataFrame([(1, "the cats run", 1.0)], f"doc_id int, {TEXT} string, overall double"))
     for plan in (terms.each_word(df, WORDS_STEMMED), terms.term_counts(df, WORDS_STEMMED, keep=["doc_id"])):
         plan.explain()
         assert capsys.readouterr().out.count("stem_arrays(") == 1
