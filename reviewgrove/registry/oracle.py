@@ -224,9 +224,9 @@ def oracle() -> dict[str, str]:
         "json_round_trip": json_rows,
         "json_inferred": json_rows,
         "parquet_partition": "SELECT lang, count(*) AS n FROM documents GROUP BY lang",
-        "parquet_one_partition": "SELECT doc_id, lang, length(text) AS n_chars FROM documents WHERE lang = 'de'",
+        "parquet_one_partition": "SELECT doc_id, lang, length(text)::INT AS n_chars FROM documents WHERE lang = 'de'",
         "records_to_df": (
-            f"WITH r AS (SELECT ({LABEL})::INT AS label, count(*) AS n, bool_or(toxic = 1) AS has_toxic, "
+            f"WITH r AS (SELECT ({LABEL})::BIGINT AS label, count(*) AS n, bool_or(toxic = 1) AS has_toxic, "
             f"round(avg(n_chars), 9) AS mean_chars, max(lang) AS last_lang FROM {RATED} GROUP BY ALL) SELECT * FROM r"
         ),
         "csv_round_trip": f"SELECT doc_id, ({LABEL})::INT AS label, {cleaned('text')} AS clean FROM documents LEFT JOIN labels USING (doc_id)",
