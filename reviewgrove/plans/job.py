@@ -63,7 +63,8 @@ def learn(
     """Tune and score a forest on review records (``reviewText``, ``overall`` and, if there is one, ``doc_id``).
 
     Vocabulary and weights come from the training part; ``fit_on_all`` takes all rows instead, which
-    lets the test part influence its own features.
+    lets the test part influence its own features. The forest keeps one integer per row and term, so for
+    very many rows ``vocab_size`` has to be lowered.
     """
     spark = reviews.sparkSession
     grid = grid or tuning.GRIDS["indexed" if with_indexers else "default"]

@@ -131,22 +131,38 @@ def test_stage_and_held(spark):
     assert not df.storageLevel.useMemory
 
 
-class _Session:
-    """Stands in for a session on a cluster without a shared folder."""
+class _Context:
+    """Stands in for a context without a folder for checkpoints."""
+
+    def __init__(self, master):
+        self.master = master
+        self.folder = None
+
+    def getCheckpointDir(self):  # noqa: N802
+        return self.folder
+
+    def setCheckpointDir(self, folder):  # noqa: N802
+        self.folder = folder
 
-    class conf:  # noqa: N801
-        @staticmethod
-        def get(name, default):
-            return default
 
-    class sparkContext:  # noqa: N801
-        master = "yarn"
+class _Session:
+    def __init__(self, master, **conf):
+        self.conf = conf
+        self.sparkContext = _Context(master)
+
 
-        @staticmethod
-        def getCheckpointDir():
-            return None
+def test_the_folder_named_by_the_session_comes_first():
+    named = _Session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert session.shared_folder(named) == "hdfs:///shared/"
+    first, second = session.fresh_path(named, "words"), session.fresh_path(named, "words")
+    assert first.startswith("hdfs:///shared/reviewgrove/words-") and first != second
 
 
 def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_folder(_Session)
+        session.shared_folder(_Session("yarn"))
+
+
+def test_a_local_session_gets_a_folder_of_its_own():
+    local = _Session("local[2]")
+    assert session.shared_folder(local) == session.shared_folder(local) == local.sparkContext.folder
