@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewgrove.llm import decontamination
+from reviewgrove.llm import decontamination, id_blocks, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +15,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_id_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_blocks.id_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 REGISTERED: dict[str, Query] = {
+    "op2_id_blocks": op2_id_blocks,
+    "op4_pack": op4_pack,
     "op8_decontaminate": op8_decontaminate,
 }
 SQL: dict[str, str] = {}
