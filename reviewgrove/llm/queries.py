@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewgrove.llm import decontamination, id_blocks, packing
+from reviewgrove.llm import decontamination, id_blocks, packing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,9 +34,14 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 REGISTERED: dict[str, Query] = {
     "op2_id_blocks": op2_id_blocks,
     "op4_pack": op4_pack,
     "op8_decontaminate": op8_decontaminate,
+    "op9_quality_rules": op9_quality_rules,
 }
 SQL: dict[str, str] = {}
