@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewgrove.llm import decontamination, id_blocks, packing, quality_rules
+from reviewgrove.llm import decontamination, id_blocks, near_dedup, packing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,6 +45,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED: dict[str, Query] = {
     "op2_id_blocks": op2_id_blocks,
     "op4_pack": op4_pack,
+    "op7_near_dedup": op7_near_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
 }
