@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewgrove.llm import decontamination, id_blocks, near_dedup, packing, quality_rules
+from reviewgrove.llm import decontamination, id_blocks, language_model, near_dedup, packing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op2_id_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_blocks.id_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -44,6 +48,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED: dict[str, Query] = {
     "op2_id_blocks": op2_id_blocks,
+    "op3_language_model": op3_language_model,
     "op4_pack": op4_pack,
     "op7_near_dedup": op7_near_dedup,
     "op8_decontaminate": op8_decontaminate,
