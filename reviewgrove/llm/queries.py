@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewgrove.llm import decontamination, id_blocks, language_model, near_dedup, packing, quality_rules
+from reviewgrove.llm import (
+    decontamination,
+    id_blocks,
+    language_model,
+    near_dedup,
+    packing,
+    perspectives,
+    quality_rules,
+    sharding,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +32,10 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op2_id_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_blocks.id_digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -34,6 +48,10 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(table(spark, sf_dir, "pages"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
@@ -46,12 +64,22 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assignments(table(spark, sf_dir, "documents"))
+
+
 REGISTERED: dict[str, Query] = {
+    "op1_perspectives": op1_perspectives,
     "op2_id_blocks": op2_id_blocks,
     "op3_language_model": op3_language_model,
     "op4_pack": op4_pack,
+    "op6_url_filter": op6_url_filter,
     "op7_near_dedup": op7_near_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
+    "op10_hash_ring": op10_hash_ring,
+}
+SQL: dict[str, str] = {
+    "op1_perspectives": perspectives.SQL,
+    "op6_url_filter": url_filter.sql(),
 }
-SQL: dict[str, str] = {}
