@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewgrove.llm import (
     decontamination,
+    html_text,
     id_blocks,
     language_model,
     near_dedup,
@@ -48,6 +49,10 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.texts(table(spark, sf_dir, "pages"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.verdicts(table(spark, sf_dir, "pages"))
 
@@ -73,6 +78,7 @@ REGISTERED: dict[str, Query] = {
     "op2_id_blocks": op2_id_blocks,
     "op3_language_model": op3_language_model,
     "op4_pack": op4_pack,
+    "op5_html_text": op5_html_text,
     "op6_url_filter": op6_url_filter,
     "op7_near_dedup": op7_near_dedup,
     "op8_decontaminate": op8_decontaminate,
