@@ -26,8 +26,8 @@ REVIEW_TIME_PATTERN = "MM d, yyyy"
 
 
 def label(overall: Column) -> Column:
-    """Rating as an integer, cut toward zero."""
-    return overall.cast("int")
+    """Rating as an integer, cut toward zero; also from text such as "5.0". Null where it is no number."""
+    return overall.try_cast("double").try_cast("int")
 
 
 def drop_unused(df: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from reviewgrove.functions.tokens import term_runs
 from reviewgrove.session import stage
 
 MIN_DF = 10.0
+# Largest number of terms of the fitted ML stage. The long form has no limit.
 VOCAB_SIZE = 1 << 18
 BROADCAST_LIMIT = 64 * 1024 * 1024
 # Room for the numbers and the row header next to the term itself.
@@ -95,6 +96,7 @@ class Vocabulary:
     n_docs: int
     n_terms: int
     n_bytes: int
+    n_dropped: int = 0
 
     def side(self, *columns: str) -> DataFrame:
         """Join side: broadcast while it is small, else left to a shuffle join with skew handling."""
@@ -106,17 +108,22 @@ def fit_vocabulary(
     cells: DataFrame,
     n_docs: int,
     min_df: float = MIN_DF,
-    vocab_size: int = VOCAB_SIZE,
+    vocab_size: int | None = None,
     max_df: float | None = None,
 ) -> Vocabulary:
-    """Terms that occur in at least ``min_df`` texts, the most frequent ``vocab_size`` of them."""
+    """Terms that occur in at least ``min_df`` texts: all of them, or with ``vocab_size`` the most frequent.
+
+    ``n_dropped`` of the result says how many terms the cut left out.
+    """
     terms = stage(document_frequencies(cells).filter(_bounds(min_df, max_df, n_docs)), "terms")
     n_terms, n_bytes = _measure(terms)
-    if n_terms > vocab_size:
+    n_dropped = 0
+    if vocab_size is not None and n_terms > vocab_size:
+        n_dropped = n_terms - vocab_size
         terms = stage(most_frequent(terms, vocab_size), "terms")
         n_terms, n_bytes = _measure(terms)
     idf = F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))
-    return Vocabulary(terms.withColumn("idf", idf), n_docs, n_terms, n_bytes)
+    return Vocabulary(terms.withColumn("idf", idf), n_docs, n_terms, n_bytes, n_dropped)
 
 
 def _measure(terms: DataFrame) -> tuple[int, int]:

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from reviewgrove.operators.terms import MIN_DF, VOCAB_SIZE, fit_vocabulary, term_counts
 
 COUNTS_COL = "term_freq"
-# The fitted stage keeps its terms on the driver and on every executor.
-MODEL_LIMIT = 1 << 30
+# Bytes of terms that the fitted stage may hold on the driver and on every executor.
+MODEL_BYTES = 1 << 30
 _SEPARATOR = "\x01"
 
 
@@ -35,15 +35,16 @@ class TfIdf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, Default
     minDF = Param(Params._dummy(), "minDF", "least number (or share) of texts", TypeConverters.toFloat)
     maxDF = Param(Params._dummy(), "maxDF", "largest number (or share) of texts", TypeConverters.toFloat)
     vocabSize = Param(Params._dummy(), "vocabSize", "largest number of terms", TypeConverters.toInt)
+    modelBytes = Param(Params._dummy(), "modelBytes", "largest size of all terms", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None, minDF=MIN_DF, maxDF=None, vocabSize=VOCAB_SIZE):
+    def __init__(self, *, inputCol=None, outputCol=None, minDF=MIN_DF, maxDF=None, vocabSize=VOCAB_SIZE, modelBytes=MODEL_BYTES):
         super().__init__()
-        self._setDefault(minDF=MIN_DF, vocabSize=VOCAB_SIZE)
+        self._setDefault(minDF=MIN_DF, vocabSize=VOCAB_SIZE, modelBytes=MODEL_BYTES)
         self.setParams(**self._input_kwargs)
 
     @keyword_only
-    def setParams(self, *, inputCol=None, outputCol=None, minDF=MIN_DF, maxDF=None, vocabSize=VOCAB_SIZE):
+    def setParams(self, *, inputCol=None, outputCol=None, minDF=MIN_DF, maxDF=None, vocabSize=VOCAB_SIZE, modelBytes=MODEL_BYTES):
         return self._set(**self._input_kwargs)
 
     def setInputCol(self, value: str) -> TfIdf:
@@ -65,8 +66,8 @@ class TfIdf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, Default
                 f"none of the terms in {vocabulary.n_docs} texts occurs in "
                 f"{self.getOrDefault(self.minDF):g} of them; use more texts or a smaller minDF"
             )
-        if vocabulary.n_bytes > MODEL_LIMIT:
-            raise ValueError(f"{vocabulary.n_terms} terms take {vocabulary.n_bytes} bytes; lower vocabSize")
+        if vocabulary.n_bytes > self.getOrDefault(self.modelBytes):
+            raise ValueError(f"{vocabulary.n_terms} terms take {vocabulary.n_bytes} bytes; lower vocabSize or raise modelBytes")
         terms = vocabulary.table.orderBy(F.desc("corpus_count"), "term").select("term", "idf").toPandas()
         counts = counting_model(terms["term"].tolist(), self.getInputCol(), COUNTS_COL)
         weights = ElementwiseProduct(

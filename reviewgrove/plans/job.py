@@ -5,21 +5,45 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewgrove.operators.scores import accuracy
 from reviewgrove.operators.split import TEST, TRAIN, fold, part
 from reviewgrove.operators.terms import MIN_DF, VOCAB_SIZE
+from reviewgrove.operators.vectors import vocabulary_of
 from reviewgrove.plans import tuning
-from reviewgrove.plans.features import ID, LABEL, TFIDF, review_words, weight_stage
+from reviewgrove.plans.features import ID, LABEL, TEXT, TFIDF, review_words, weight_stage
 from reviewgrove.plans.report import grid_scores, report
 from reviewgrove.session import held, stage
-from reviewgrove.sources.reviews import read_reviews
+from reviewgrove.sources.reviews import read_reviews, spread
 from reviewgrove.sources.sinks import show, write_csv
 
 FOLD = "fold"
 PART = "part"
+# What a forest is fitted on at most. Spark holds a row of the forest as one integer per feature, so the two bounds
+# make 128 KiB a row and 6.5 GB over the cluster for each of the models that are trained at a time.
+FOREST_ROWS = 50_000
+FOREST_FEATURES = 1 << 15
+_PARTS = 1 << 30
+
+
+def bounded_rows(df: DataFrame, limit: int = FOREST_ROWS) -> DataFrame:
+    """About ``limit`` rows by the hash of their id, without a sort; all rows if there are no more."""
+    total = df.count()
+    return df if total <= limit else df.filter(F.pmod(F.xxhash64(ID), F.lit(_PARTS)) < _PARTS * limit // total)
+
+
+def bounded_features(model: PipelineModel, limit: int = FOREST_FEATURES) -> PipelineModel:
+    """``model`` with its most frequent ``limit`` terms for the forest; as it is if it has no more."""
+    n_terms = len(vocabulary_of(model))
+    if n_terms <= limit:
+        return model
+    wide = f"{TFIDF}_all"
+    terms = model.stages[:-1]
+    weights = model.stages[-1].copy({model.stages[-1].outputCol: wide})
+    return PipelineModel([*terms, weights, VectorSlicer(inputCol=wide, outputCol=TFIDF, indices=list(range(limit)))])
 
 
 @dataclass(frozen=True)
@@ -59,12 +83,14 @@ def learn(
     fit_on_all: bool = False,
     parallelism: int = 4,
     seed: int = 123,
+    forest_rows: int = FOREST_ROWS,
+    forest_features: int = FOREST_FEATURES,
 ) -> JobResult:
     """Tune and score a forest on review records (``reviewText``, ``overall`` and, if there is one, ``doc_id``).
 
     Vocabulary and weights come from the training part; ``fit_on_all`` takes all rows instead, which
-    lets the test part influence its own features. The forest keeps one integer per row and term, so for
-    very many rows ``vocab_size`` has to be lowered.
+    lets the test part influence its own features. The forest is fitted on at most about ``forest_rows`` of the
+    training rows and on the ``forest_features`` most frequent terms; all test rows are scored.
     """
     spark = reviews.sparkSession
     grid = grid or tuning.GRIDS["indexed" if with_indexers else "default"]
@@ -72,8 +98,9 @@ def learn(
     tuning.check_labels(words)
     fit_rows = words if fit_on_all else words.filter(F.col(PART) == TRAIN)
     features_model = weight_stage(min_df, vocab_size, max_df=max_df).fit(fit_rows)
-    features = features_model.transform(words).select(ID, LABEL, FOLD, PART, TFIDF)
-    with held(features.filter(F.col(PART) == TRAIN).drop(PART)) as train:
+    narrow = bounded_features(features_model, forest_features)
+    features = narrow.transform(words).select(ID, LABEL, FOLD, PART, TFIDF)
+    with held(bounded_rows(features.filter(F.col(PART) == TRAIN), forest_rows).drop(PART)) as train:
         if with_indexers:
             stages = tuning.indexed_stages(train, grid, FOLD, parallelism, seed)
         else:
@@ -109,6 +136,9 @@ def run(
     On a cluster the report goes to ``output_path`` as CSV with a header, locally to the console.
     """
     reviews = read_reviews(spark, input_path, input_format, base_path, infer)
+    if not is_test:
+        key = ID if ID in reviews.columns else TEXT
+        reviews = spread(reviews, key)
     result = learn(reviews, with_indexers=with_indexers, is_test=is_test, **options)
     if is_local:
         show(result.report)

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
-import pyspark
-
 from reviewgrove.functions import cleaning, stemming
 
+# The English stop words that ship with Spark, written out so that the SQL needs neither a session nor
+# Spark's files. A test compares them to what a session loads.
+STOP_WORDS = """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+    herself it its itself they them their theirs themselves what which who whom this that these those am is are
+    was were be been being have has had having do does did doing a an the and but if or because as until while of
+    at by for with about against between into through during before after above below to from up down in out on
+    off over under again further then once here there when where why how all any both each few more most other
+    some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll she'll
+    we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+    they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't
+    mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+    would
+""".split()
+
 REPLACED = (cleaning.EMAIL, "\n|\t", cleaning.DIGIT_TOKEN, cleaning.SINGLE_LETTER, cleaning.NON_WORD)
+# The largest number of terms of the fitted stage.
+VOCAB_SIZE = 1 << 18
 LABEL = "1 + 2 * quality + (1 - toxic)"
 RATED = "documents JOIN labels USING (doc_id)"
 
@@ -22,11 +34,8 @@ def cleaned(text: str, steps: int = 6) -> str:
 
 
 def stop_list() -> str:
-    """Spark's English stop words as SQL rows, read from its jar so that no session is needed."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_2*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        words = archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split("\n")
-    quoted = ("('" + word.replace("'", "''") + "')" for word in words if word)
+    """The stop words as SQL rows."""
+    quoted = ("('" + word.replace("'", "''") + "')" for word in STOP_WORDS)
     return f"stops(word) AS (VALUES {', '.join(quoted)})"
 
 
@@ -47,7 +56,10 @@ def words_cte(source: str = "documents", stops: bool = True, label: bool = False
 
 
 def positions(words: str) -> str:
-    return f"WITH {words} SELECT doc_id, unnest(w) AS term, unnest(range(len(w)))::INT AS pos FROM words"
+    return (
+        f"WITH {words}, each AS (SELECT doc_id, unnest(w) AS term, unnest(range(len(w)))::INT AS pos FROM words) "
+        "SELECT doc_id, pos, term FROM each"
+    )
 
 
 def cells_cte(words: str, label: bool = False) -> str:
@@ -58,11 +70,14 @@ def cells_cte(words: str, label: bool = False) -> str:
     )
 
 
-def terms_cte(cells: str, having: str = "df >= 10", total: str = "SELECT count(*) FROM documents") -> str:
+def terms_cte(
+    cells: str, having: str = "df >= 10", total: str = "SELECT count(*) FROM documents", size: int | None = None
+) -> str:
+    cut = "" if size is None else f" ORDER BY corpus_count DESC, term LIMIT {size}"
     return (
         f"{cells}, total AS ({total}), every_term AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS corpus_count "
         f"FROM cells GROUP BY term), terms AS (SELECT *, ln(((SELECT * FROM total) + 1.0) / (df + 1.0)) AS idf "
-        f"FROM every_term WHERE {having})"
+        f"FROM every_term WHERE {having}{cut})"
     )
 
 
@@ -196,6 +211,10 @@ def oracle() -> dict[str, str]:
     terms = f"WITH {terms_cte(kept_cells)} SELECT term, df, corpus_count FROM terms"
     tfidf = weights(terms_cte(kept_cells))
     tfidf_stemmed = weights(terms_cte(stemmed_cells))
+    tfidf_cut = weights(terms_cte(kept_cells, size=VOCAB_SIZE))
+    tfidf_stemmed_cut = weights(terms_cte(stemmed_cells, size=VOCAB_SIZE))
+    hashed = "(('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 100 >= 75)"
+    tested = f"SELECT count(*) FILTER ({hashed}) AS n_test, true AS is_hit_share FROM {RATED}"
     hex_number = "(('0x' || substr(md5(doc_id::VARCHAR), {first}, 8))::BIGINT)"
     categories = (
         f"WITH {terms_cte(rated_cells, total=rated_total)}, distinct_tf AS (SELECT term, count(DISTINCT tf) AS n FROM cells GROUP BY term), "
@@ -265,14 +284,21 @@ def oracle() -> dict[str, str]:
         ),
         "idf_weights": f"WITH {terms_cte(kept_cells)} SELECT term, df, round(idf, 9) AS idf FROM terms",
         "tfidf_long": tfidf,
-        "tfidf_ml": tfidf,
-        "tfidf_vectors": tfidf,
+        "tfidf_ml": tfidf_cut,
+        "tfidf_vectors": tfidf_cut,
         "tfidf_stemmed": tfidf_stemmed,
-        "tfidf_stemmed_vectors": tfidf_stemmed,
+        "tfidf_stemmed_vectors": tfidf_stemmed_cut,
+        "forest_accuracy": tested,
+        "indexed_accuracy": tested,
+        "cross_validation": (
+            "SELECT * FROM (VALUES (0::BIGINT, 3::BIGINT, 5::BIGINT, 'gini', true), (1, 5, 5, 'gini', true)) "
+            "AS t(point, \"maxDepth\", \"numTrees\", impurity, is_share)"
+        ),
+        "best_params": "SELECT true AS is_best, true AS is_complete",
         "hash_split": (
             f"SELECT doc_id, CASE WHEN {hex_number.format(first=1)} % 100 < 75 THEN 'train' ELSE 'test' END AS part FROM documents"
         ),
-        "random_split": "SELECT doc_id FROM documents",
+        "random_split": "SELECT doc_id, 1::BIGINT AS n_parts, true AS share_as_asked FROM documents",
         "fold_assignment": f"SELECT doc_id, ({hex_number.format(first=9)} % 3)::INT AS fold FROM documents",
         "label_index": coded,
         "label_index_ml": coded,
@@ -289,8 +315,8 @@ def oracle() -> dict[str, str]:
             "a AS (SELECT count(*) AS n_test, avg(hit) AS accuracy FROM hits) SELECT n_test, round(accuracy, 9) AS accuracy, "
             "round(1 - accuracy, 9) AS test_error, round(accuracy, 9) AS evaluator_accuracy FROM a"
         ),
-        "collapse_first_values": "SELECT "
-        + ", ".join(f"nullif(count(*) FILTER (lang = '{lang}'), 0) AS {lang}" for lang in ("en", "fr", "de", "es"))
-        + " FROM documents",
+        "collapse_first_values": (
+            "PIVOT (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang) ON lang USING any_value(n)"
+        ),
     }
     return result

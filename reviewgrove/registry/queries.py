@@ -39,7 +39,7 @@ from reviewgrove.plans.features import (
     weight_stage,
     words_of,
 )
-from reviewgrove.registry.tables import RECORD_SCHEMA, documents, labels, overall, reviews, side_columns
+from reviewgrove.registry.tables import RECORD_SCHEMA, documents, labels, overall, reviews, side_columns, side_values
 from reviewgrove.session import fresh_path, stage
 from reviewgrove.sources.records import records_to_frame
 from reviewgrove.sources.reviews import json_copy, read_reviews_parquet, write_partitioned
@@ -49,7 +49,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
 CLEAN = "clean"
 DIGITS = 9
-LANGUAGES = ("en", "fr", "de", "es")
 # Small settings that keep a registered training run short; they are settings, not row limits.
 SMALL_GRID = tuning.Grid({"maxDepth": [3, 5], "numTrees": [5], "impurity": ["gini"]}, folds=2)
 
@@ -167,7 +166,9 @@ def label_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fields.drop_unused(side_columns(spark, sf_dir).join(reviews(spark, sf_dir), ID))
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    wide = texts.join(labels(spark, sf_dir).select(ID, overall().alias("overall")), ID)
+    return fields.drop_unused(wide.select(ID, F.col("text").alias(TEXT), "overall", *side_values()))
 
 
 @query
@@ -384,8 +385,12 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per id the number of parts it is in, and whether the first part has about three quarters of all ids."""
     train, test = split.random_parts(documents(spark, sf_dir))
-    return train.unionAll(test)
+    both = train.withColumn("first", F.lit(1)).unionByName(test.withColumn("first", F.lit(0)))
+    per_id = both.groupBy(ID).agg(F.count(F.lit(1)).alias("n_parts"), F.max("first").alias("first"))
+    share = per_id.agg(F.abs(F.avg("first") - 0.75).alias("off")).select(F.col("off") < 0.1).scalar()
+    return per_id.select(ID, "n_parts", share.alias("share_as_asked"))
 
 
 @query
@@ -450,9 +455,17 @@ def feature_categories_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = job.split_words(reviews(spark, sf_dir), folds=2)
     train, test = (rows.filter(F.col(job.PART) == part) for part in (split.TRAIN, split.TEST))
-    weights = weight_stage().fit(train)
-    model = tuning.forest(numTrees=5, maxDepth=5).fit(weights.transform(train))
-    return accuracy(model.transform(weights.transform(test)))
+    weights = job.bounded_features(weight_stage().fit(train))
+    model = tuning.forest(numTrees=5, maxDepth=5).fit(weights.transform(job.bounded_rows(train)))
+    return _checked(stage(model.transform(weights.transform(test)).select(LABEL, "prediction"), "predictions"))
+
+
+def _checked(predictions: DataFrame, label: str = LABEL) -> DataFrame:
+    """``n_test``, and whether the accuracy is the share of hits as Spark's evaluator counts them."""
+    measured = accuracy_evaluator(label).evaluate(predictions)
+    return accuracy(predictions, label).select(
+        "n_test", (F.abs(F.col("accuracy") - measured) < 1e-9).alias("is_hit_share")
+    )
 
 
 @query
@@ -486,21 +499,30 @@ def _search(spark: SparkSession, sf_dir: str, **options) -> job.JobResult:
 
 @query
 def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _search(spark, sf_dir).scores
+    """All points of the grid, each with a share as its score."""
+    inside = F.col("accuracy").between(0, 1).alias("is_share")
+    return _search(spark, sf_dir).scores.select("point", "maxDepth", "numTrees", "impurity", inside)
 
 
 @query
 def best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _search(spark, sf_dir).report
+    """Whether the report names the best of the scores, the first one of equals, and all parameters of the grid."""
+    result = _search(spark, sf_dir)
+    names = list(SMALL_GRID.values)
+    first = result.scores.orderBy(F.desc("accuracy"), "point").limit(1).select(*names)
+    same = result.report.select(*names).exceptAll(first).count() == 0
+    return result.report.select(F.lit(same).alias("is_best"), F.lit(sorted(result.report.columns) == sorted(names)).alias("is_complete"))
 
 
 @query
 def indexed_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _search(spark, sf_dir, with_indexers=True).accuracy
+    predictions = _search(spark, sf_dir, with_indexers=True).predictions
+    return _checked(stage(predictions.select(tuning.INDEXED_LABEL, "prediction"), "predictions"), tuning.INDEXED_LABEL)
 
 
 @query
 def collapse_first_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = documents(spark, sf_dir, "lang").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    sparse = counts.select(*[F.when(F.col("lang") == lang, F.col("n")).alias(lang) for lang in LANGUAGES])
+    languages = [row["lang"] for row in counts.filter("lang IS NOT NULL").select("lang").orderBy("lang").collect()]
+    sparse = counts.select(*[F.when(F.col("lang") == lang, F.col("n")).alias(lang) for lang in languages])
     return collapse_first(sparse)

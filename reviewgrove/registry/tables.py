@@ -29,16 +29,19 @@ def overall() -> Column:
 
 def reviews(spark: SparkSession, sf_dir: str, labelled: bool = True) -> DataFrame:
     """``doc_id, reviewText, overall``. Without a hint: Spark sees the size of both sides."""
-    texts = documents(spark, sf_dir, "text").withColumnRenamed("text", TEXT)
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select(ID, F.col("text").alias(TEXT))
     rated = labels(spark, sf_dir).select(ID, overall().alias("overall"))
-    return texts.join(rated, ID, "inner" if labelled else "left")
+    return spread(texts.join(rated, ID, "inner" if labelled else "left"), ID)
 
 
 def side_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The side columns of a review, computed from ``doc_id`` and ``lang``."""
+    return documents(spark, sf_dir, "lang").select(ID, *side_values())
+
+
+def side_values() -> list[Column]:
     n = F.col(ID)
-    return documents(spark, sf_dir, "lang").select(
-        ID,
+    return [
         F.when(n % 3 == 0, "none").when(n % 7 == 1, F.concat(n, F.lit(" votes"))).otherwise(n.cast("string")).alias("vote"),
         F.when(n % 2 == 0, F.lpad(n.cast("string"), 10, "0")).otherwise(F.concat(F.lit("B"), n)).alias("asin"),
         F.struct(F.col("lang").alias("Format:")).alias("style"),
@@ -46,4 +49,4 @@ def side_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat_ws("", F.lpad((n % 12 + 1).cast("string"), 2, "0"), F.lit(" "), n % 28 + 1, F.lit(", "), 2000 + n % 20))
         .alias("reviewTime"),
         (F.lit(1262304000) + n * 86461).alias("unixReviewTime"),
-    )
+    ]

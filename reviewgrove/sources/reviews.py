@@ -28,6 +28,10 @@ REVIEW_SCHEMA = T.StructType(
 )
 
 
+# What tells one review from another.
+ID_FIELDS = ("reviewerID", "asin", "unixReviewTime", "overall", "reviewText")
+
+
 def read_reviews_json(
     spark: SparkSession,
     path: str,
@@ -102,13 +106,15 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def with_review_id(df: DataFrame, name: str = "doc_id") -> DataFrame:
-    """Add an id made of the whole record, for input without one.
+    """Add an id made of the fields that tell a review, for input without one.
 
-    Exact copies of a record get the same id and therefore fall into the same part and the same fold.
+    Only those fields are read, and other columns, such as those of partition directories, do not change the id.
+    Copies of a review get the same id and therefore fall into the same part and the same fold.
     """
     if name in df.columns:
         return df
-    return df.withColumn(name, F.md5(F.to_json(F.struct(*df.columns))))
+    parts = [F.coalesce(F.md5(F.col(key).cast("string")), F.lit("")) for key in ID_FIELDS if key in df.columns]
+    return df.withColumn(name, F.md5(F.concat_ws("|", *parts)))
 
 
 def json_copy(df: DataFrame, name: str, schema: T.StructType | None) -> DataFrame:
