@@ -199,8 +199,10 @@ def drop_documents(df: DataFrame, items: DataFrame, text: str = "text") -> DataF
     return judged.filter(~contaminated()).select("_kept.*")
 
 
-def cut_passages(text: str, byte_spans: Sequence) -> str:
-    """``text`` without the byte ranges."""
+def cut_passages(text: str | None, byte_spans: Sequence) -> str | None:
+    """``text`` without the byte ranges; null stays null."""
+    if text is None:
+        return None
     data, at, kept = text.encode(), 0, []
     for span in byte_spans:
         kept.append(data[at : span["start"]])

@@ -34,9 +34,9 @@ from reviewgrove.session import stage
 
 SHINGLE = 5
 PERCENT = 80
-TREES = 12
+TREES = 16
 # Values of a tree, and how many of them a region shares at least.
-LEVELS = 8
+LEVELS = 6
 LEAST_DEPTH = 3
 REGION = 1024
 OVERLAP = 16
@@ -330,7 +330,7 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
         "set_id", F.coalesce("component", "rep").alias("component_id")
     )
     joined = described.join(named, "set_id", "left")
-    component = F.coalesce("component_id", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return joined.select(
         "doc_id",
         "n_shingles",
