@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 ROW = "row"
 # Bytes of text that one step of array work looks at. Bounds the memory of a task, not the texts.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
 SEGMENT = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

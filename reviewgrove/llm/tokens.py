@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 from reviewgrove.llm.batches import process_store, slices
 
 # Pieces that a worker remembers. The table starts over when it is full; results do not depend on it.
-TABLE_PIECES = 400_000
-SLICE_BYTES = 1 << 23
+TABLE_PIECES = 300_000
+SLICE_BYTES = 1 << 22
 _SPACE = r" \t\n\r\f\v"
 # White space beyond ASCII, characters that some libraries count as such, and the start of special tokens.
 _UNSURE = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]|<\|"
