@@ -342,7 +342,9 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
 def drop_copies(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of each group, with its own columns; of repeated rows one stays."""
     found = stage(near_duplicates(df, size, percent), "near-duplicates")
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
+    gone = stage(found.filter(~F.col("kept")).select("doc_id").distinct(), "copies")
+    # Copies are named by their numbers alone; while those are few, the texts need not be shuffled.
+    gone = F.broadcast(gone) if 32 * gone.count() <= BROADCAST_BYTES else gone
     kept = df.join(gone, "doc_id", "left_anti").select(*df.columns)
     repeated = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
     return kept.dropDuplicates(["doc_id", "text"]) if repeated.limit(1).count() else kept
