@@ -218,8 +218,8 @@ def _tidy(word: str, mode: str) -> str:
 
 
 def stem_word(word: str, mode: str = EXTENDED) -> str:
-    """Stem of one word."""
-    word = word.lower()
+    """Stem of one word. A word that would lose all its letters, as "s" in the mode ``paper``, is its own stem."""
+    whole = word = word.lower()
     if mode == EXTENDED:
         if word in IRREGULAR:
             return IRREGULAR[word]
@@ -231,7 +231,7 @@ def stem_word(word: str, mode: str = EXTENDED) -> str:
     word = _double_suffix(word, mode)
     word = _third(word)
     word = _fourth(word)
-    return _tidy(word, mode)
+    return _tidy(word, mode) or whole
 
 
 class Stems(dict):

@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from reviewgrove.operators.terms import BROADCAST_LIMIT
+from reviewgrove.session import stage
 
 MAX_CATEGORIES = 4
-_BYTES_PER_LABEL = 64
+# Room for the code and the row header next to the label itself.
+_BYTES_PER_ROW = 64
 
 
 def label_index(df: DataFrame, label: str = "label") -> DataFrame:
     """``label, idx``: codes by falling frequency, equal ones by the label as text.
 
-    The window runs over one row per distinct label, not over the data. The result is a table to
+    The window runs in one task over one row per distinct label, which suits ratings and other short lists. The result is a table to
     stage when it is used more than once.
     """
     order = Window.orderBy(F.desc("n"), F.col(label).cast("string"))
@@ -30,7 +32,9 @@ def label_index(df: DataFrame, label: str = "label") -> DataFrame:
 def label_unindex(df: DataFrame, index: DataFrame, code: str, name: str, label: str = "label") -> DataFrame:
     """Add the label for a code as text column ``name``, out of the table of ``label_index``."""
     codes = index.select(F.col("idx").alias(code), F.col(label).cast("string").alias(name))
-    small = codes.count() * _BYTES_PER_LABEL <= BROADCAST_LIMIT
+    codes = stage(codes, "codes")
+    size = codes.agg(F.coalesce(F.sum(F.octet_length(name) + _BYTES_PER_ROW), F.lit(0))).first()[0]
+    small = size <= BROADCAST_LIMIT
     return df.join(F.broadcast(codes) if small else codes, code, "left")
 
 

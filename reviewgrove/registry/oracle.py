@@ -294,6 +294,8 @@ def oracle() -> dict[str, str]:
             "SELECT * FROM (VALUES (0::BIGINT, 3::BIGINT, 5::BIGINT, 'gini', true), (1, 5, 5, 'gini', true)) "
             "AS t(point, \"maxDepth\", \"numTrees\", impurity, is_share)"
         ),
+        "fitted_stages": tfidf_stemmed_cut,
+        "job_round_trip": "SELECT count(DISTINCT p) = 3 AS is_complete, count(*) AS n_parameters FROM (VALUES ('maxDepth'), ('numTrees'), ('impurity')) AS t(p)",
         "best_params": "SELECT true AS is_best, true AS is_complete",
         "hash_split": (
             f"SELECT doc_id, CASE WHEN {hex_number.format(first=1)} % 100 < 75 THEN 'train' ELSE 'test' END AS part FROM documents"

@@ -34,6 +34,7 @@ from reviewgrove.plans.features import (
     WORDS_CLEANED,
     WORDS_STEMMED,
     builtin_feature_stages,
+    feature_stages,
     first_rows,
     text_stages,
     weight_stage,
@@ -375,6 +376,14 @@ def tfidf_stemmed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vector_weights(spark, sf_dir, stem=True)
 
 
+@query
+def fitted_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feature stages as one estimator, fitted and applied."""
+    texts = stage(cleaned(spark, sf_dir), "texts")
+    model = feature_stages().fit(texts)
+    return _long(spark, model.transform(texts), model)
+
+
 # Split and indexes
 
 
@@ -520,6 +529,18 @@ def indexed_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _checked(stage(predictions.select(tuning.INDEXED_LABEL, "prediction"), "predictions"), tuning.INDEXED_LABEL)
 
 
+@query
+def job_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job from JSON without ids to the CSV report, read back: whether it has every parameter of the grid, and how many."""
+    path, out = fresh_path(spark, "reviews"), fresh_path(spark, "report")
+    reviews(spark, sf_dir).drop(ID).write.json(path)
+    job.run(spark, path, out, grid=SMALL_GRID)
+    names = spark.read.option("header", True).csv(out).columns
+    return spark.range(1).select(
+        F.lit(sorted(names) == sorted(SMALL_GRID.values)).alias("is_complete"), F.lit(len(names)).cast("long").alias("n_parameters")
+    )
+
+
 @query
 def collapse_first_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = documents(spark, sf_dir, "lang").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))

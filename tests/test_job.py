@@ -12,6 +12,7 @@ from reviewgrove import __main__ as command
 from reviewgrove import session
 from reviewgrove.operators.vectors import vocabulary_of
 from reviewgrove.plans import job, tuning
+from reviewgrove.plans.features import weight_stage
 
 GRID = tuning.Grid({"bootstrap": [True], "maxDepth": [2, 4], "numTrees": [3], "minInfoGain": [0.0], "impurity": ["gini"]}, 2)
 GOOD = "great wonderful loving superb enjoyed".split()
@@ -103,3 +104,16 @@ def test_command_line_needs_an_output(monkeypatch):
 
 def test_session_factory(spark):
     assert session.create_session(False) is spark
+
+
+def test_bounds_of_the_forest(spark):
+    rows = spark.range(4000).select(F.col("id").alias(job.ID))
+    assert 300 < job.bounded_rows(rows, 400).count() < 500
+    assert job.bounded_rows(rows, 4000).count() == 4000
+    words = spark.createDataFrame([(i, [f"w{k}" for k in range(i % 5 + 1)]) for i in range(60)], "doc_id long, words_stemmed array<string>")
+    model = weight_stage(min_df=1).fit(words)
+    small = job.bounded_features(model, 2).transform(words)
+    assert job.bounded_features(model, 5) is model
+    full = {r.doc_id: r.tfidf for r in model.transform(words).collect()}
+    for r in small.collect():
+        assert list(r.tfidf.toArray()) == list(full[r.doc_id].toArray()[:2])

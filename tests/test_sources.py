@@ -166,3 +166,12 @@ def test_a_cluster_needs_a_shared_folder():
 def test_a_local_session_gets_a_folder_of_its_own():
     local = _Session("local[2]")
     assert session.shared_folder(local) == session.shared_folder(local) == local.sparkContext.folder
+
+
+def test_ratings_as_text_and_ids_without_partition_columns(spark):
+    rows = [("r1", "a1", 5, "5.0", "good", "Books"), ("r2", "a1", 6, "none", "bad", "Music")]
+    df = spark.createDataFrame(rows, "reviewerID string, asin string, unixReviewTime long, overall string, reviewText string, product_category string")
+    assert [r.n for r in df.select(fields.label(F.col("overall")).alias("n")).collect()] == [5, None]
+    wide, narrow = reviews.with_review_id(df), reviews.with_review_id(df.drop("product_category"))
+    assert [r.doc_id for r in wide.collect()] == [r.doc_id for r in narrow.collect()]
+    assert len({r.doc_id for r in wide.collect()}) == 2

@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from reviewgrove.functions.stemming import PAPER, Stems, measure, stem, stem_lists, stem_word
+from reviewgrove.functions.stemming import EXTENDED, PAPER, Stems, measure, stem, stem_lists, stem_word
 from reviewgrove.operators.stemmer import Stemmer
 
 # The examples of the paper; where a later step changes the word again, the final stem is given.
@@ -91,3 +91,8 @@ def test_setters(spark):
     assert (stage.getInputCol(), stage.getOutputCol()) == ("w", "s")
     row = stage.transform(spark.createDataFrame([(["owls"],)], "w array<string>")).first()
     assert row.s == ["owl"]
+
+
+def test_no_mode_gives_an_empty_stem():
+    for mode in (EXTENDED, PAPER):
+        assert all(stem_word(word, mode) for word in ("s", "ing", "ed", "es", "y", "e", "ies", "a"))

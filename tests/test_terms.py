@@ -180,3 +180,11 @@ def test_words_are_computed_once(spark, capsys):
     for plan in (terms.each_word(df, WORDS_STEMMED), terms.term_counts(df, WORDS_STEMMED, keep=["doc_id"])):
         plan.explain()
         assert capsys.readouterr().out.count("stem_arrays(") == 1
+
+
+def test_the_long_form_keeps_every_term(cells, corpus, monkeypatch):
+    monkeypatch.setattr(terms, "VOCAB_SIZE", 5)
+    df, _ = _frequencies(corpus)
+    vocabulary = terms.fit_vocabulary(cells, len(corpus), min_df=1)
+    assert (vocabulary.n_terms, vocabulary.n_dropped) == (len(df), 0)
+    assert terms.fit_vocabulary(cells, len(corpus), min_df=1, vocab_size=10).n_dropped == len(df) - 10
