@@ -7,8 +7,9 @@
 3. Within a cut the signatures give similarity estimates; classes that may be similar are chained. Chains over all
    trees are families.
 4. The full sets of a family come together and every pair that may reach the threshold is confirmed on them, unless it is
-   linked already. Families beyond the limit are cut into blocks along several signature orders; every block also
-   gets the most central classes of the family.
+   linked already. Families beyond the limit are cut into blocks along several signature orders first; every block also
+   gets the most central classes of the family. Any two classes of such a family that this leaves in different groups and
+   whose sizes fit then meet in a block of two pieces of the family, so no pair is left out.
 5. Components of confirmed links, and of the documents in each class, are the groups.
 
 Defined cases: a text without words (null, empty) has an empty set and is linked with nothing; a shorter text is
@@ -18,13 +19,14 @@ table gives an empty result. Other columns are not looked at; the stage carries
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -189,7 +191,8 @@ def blocks_of(families: DataFrame, classes: DataFrame) -> DataFrame:
 
     The place of a class in an order comes from the hash range of its signature values, so no family is sorted
     or counted in one task. Every block of a large family also gets the HUBS classes of the family whose leading
-    signature values are the most common ones.
+    signature values are the most common ones. What no block holds together is left to ``meetings``. A class is its own
+    ``group``, and on side 0 it meets all classes of its block.
     """
     sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
     rows = families.withColumnRenamed("node", "rep").join(sizes, "component").join(classes.select("rep", "sketch"), "rep")
@@ -213,9 +216,58 @@ def blocks_of(families: DataFrame, classes: DataFrame) -> DataFrame:
     placed = placed.select("component", "rep", "sketch", block.alias("block"))
     hubs = _hubs(large)
     meeting = placed.select("component", "block").distinct().join(hubs, "component")
-    return small.unionByName(placed.select("rep", "sketch", "block")).unionByName(
-        meeting.select("rep", "sketch", "block")
-    ).distinct()
+    blocks = small.unionByName(placed.select("rep", "sketch", "block")).unionByName(meeting.select("rep", "sketch", "block"))
+    return blocks.distinct().withColumns({"group": F.col("rep"), "side": F.lit(0)})
+
+
+def band(percent: int) -> Column:
+    """Sets whose sizes fit are in the same band or in neighbouring ones."""
+    width = max(math.log(100 / percent), 1e-3) * 1.001
+    return F.floor(F.log("n_shingles") / width)
+
+
+def meetings(rows: DataFrame, limit: int, percent: int) -> DataFrame:
+    """``rep, sketch, n_shingles, group, block, side`` from the same columns and ``unit``: any two classes of a unit that are
+    in different groups and whose sizes fit meet in a block.
+
+    A unit is cut into pieces of about half of ``limit`` classes, those of its largest group apart, and any two pieces are
+    a block unless both are of the largest group. The classes of one piece meet on side 0 of a block of their own; in a
+    block of two pieces a class meets those of the other side only.
+    """
+    per_group = rows.groupBy("unit", "group").agg(F.count(F.lit(1)).alias("k"))
+    top = per_group.groupBy("unit").agg(F.max_by("group", F.struct("k", "group")).alias("top"), F.count(F.lit(1)).alias("groups"))
+    split = rows.join(top.filter("groups > 1").select("unit", "top"), "unit")
+    split = stage(split.withColumns({"inner": F.col("group") == F.col("top"), "band": band(percent)}).drop("top"), "to-meet")
+    place = ["unit", "band", "inner"]
+    pieces = split.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) * 2 / limit).cast("int").alias("pieces"))
+    placed = split.join(pieces, place).withColumn("piece", F.pmod(F.xxhash64("rep"), F.col("pieces")).cast("int"))
+    each = pieces.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
+    one = each.select("unit", *[F.col(name).alias(f"{name}_1") for name in ("band", "inner", "piece")])
+    two = each.select("unit", *[F.col(name).alias(f"{name}_2") for name in ("band", "inner", "piece")])
+    first, second = F.struct("inner_1", "piece_1"), F.struct("inner_2", "piece_2")
+    same_band, next_band = F.col("band_2") == F.col("band_1"), F.col("band_2") == F.col("band_1") + 1
+    pairs = one.join(two, "unit").filter(((same_band & (first <= second)) | next_band) & ~(F.col("inner_1") & F.col("inner_2")))
+    alone = same_band & (first == second)
+    block = F.xxhash64("unit", "band_1", "inner_1", "piece_1", "band_2", "inner_2", "piece_2")
+    pairs = pairs.select("*", block.alias("block"), alone.alias("alone"))
+
+    def side(number: int) -> DataFrame:
+        own = [F.col(f"{name}_{number}").alias(name) for name in ("band", "inner", "piece")]
+        return pairs.select("unit", *own, "block", "alone", F.lit(number).alias("side"))
+
+    sides = side(1).withColumn("side", F.when(F.col("alone"), 0).otherwise(1)).unionByName(side(2).filter("NOT alone"))
+    met = placed.join(sides.drop("alone"), [*place, "piece"])
+    return met.select("rep", "sketch", "n_shingles", "group", "block", "side")
+
+
+def remaining_blocks(families: DataFrame, groups: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Blocks for the classes of large families that are not in one group yet."""
+    large = families.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK).select("component")
+    rows = families.join(large, "component").select(F.col("component").alias("unit"), F.col("node").alias("rep"))
+    known = groups.select(F.col("node").alias("rep"), F.col("component").alias("group"))
+    rows = rows.join(known, "rep", "left").withColumn("group", F.coalesce("group", "rep"))
+    rows = rows.join(classes.select("rep", "sketch", "n_shingles"), "rep")
+    return meetings(rows, BLOCK, percent).drop("n_shingles")
 
 
 def _hubs(large: DataFrame) -> DataFrame:
@@ -238,15 +290,20 @@ def _hubs(large: DataFrame) -> DataFrame:
     return chosen.join(large.select("rep", "sketch"), "rep")
 
 
-def confirm(rows: list[tuple[int, bytes, bytes]], percent: int) -> list[tuple[int, int]]:
-    """Links ``(class, smallest class of its group)`` within a block, confirmed on the full sets."""
-    rows = sorted(dict((rep, (rep, sketch, shingles)) for rep, sketch, shingles in rows).values())
+def confirm(rows: list[tuple[int, bytes, int, int, bytes]], percent: int) -> list[tuple[int, int]]:
+    """Links between the classes ``rep, sketch, group, side, shingles`` of a block, confirmed on the full sets.
+
+    Classes of one group are linked already, and classes on the same side, other than side 0, do not meet here.
+    """
+    rows = sorted(dict((row[0], row) for row in rows).values())
     n = len(rows)
     matrix = np.frombuffer(b"".join(row[1] for row in rows), np.uint8).reshape(n, HASHES)
-    arrays = [np.frombuffer(row[2], "<u8") for row in rows]
+    groups, sides = (np.array([row[k] for row in rows]) for k in (2, 3))
+    arrays = [np.frombuffer(row[4], "<u8") for row in rows]
     sizes = np.array([len(a) for a in arrays])
     sets: list[set | None] = [None] * n
-    root = list(range(n))
+    _, at, place = np.unique(groups, return_index=True, return_inverse=True)
+    root = at[place].tolist()
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -268,11 +325,16 @@ def confirm(rows: list[tuple[int, bytes, bytes]], percent: int) -> list[tuple[in
     first, second, estimates = [], [], []
     for i in range(n - 1):
         fits = 100 * np.minimum(sizes[i + 1 :], sizes[i]) >= percent * np.maximum(sizes[i + 1 :], sizes[i])
-        share = agreement(matrix[i], matrix[i + 1 :])
-        near = np.flatnonzero(fits & (share >= percent / 100 - SLACK))
-        first.append(np.full(len(near), i))
-        second.append(near + i + 1)
+        fits &= groups[i + 1 :] != groups[i]
+        if sides[i]:
+            fits &= sides[i + 1 :] != sides[i]
+        later = np.flatnonzero(fits) + i + 1
+        share = agreement(matrix[i], matrix[later])
+        near = share >= percent / 100 - SLACK
+        first.append(np.full(int(near.sum()), i))
+        second.append(later[near])
         estimates.append(share[near])
+    links = []
     if first:
         pairs = np.stack([np.concatenate(first), np.concatenate(second)], axis=1)
         order = np.argsort(-np.concatenate(estimates), kind="stable")
@@ -284,30 +346,36 @@ def confirm(rows: list[tuple[int, bytes, bytes]], percent: int) -> list[tuple[in
             common = len(one & other)
             if 100 * common >= percent * (int(sizes[i]) + int(sizes[j]) - common):
                 root[max(a, b)] = min(a, b)
-    return [(rows[i][0], rows[find(i)][0]) for i in range(n) if find(i) != i]
+                links.append((rows[j][0], rows[i][0]))
+    return links
 
 
 def confirmed_links(df: DataFrame, blocks: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links of all blocks. Only the sets of classes in blocks are made, and each goes to its blocks."""
+    """Links of all blocks. Only the sets of classes in blocks are made, each once, and each goes to its blocks."""
     bytes_held = blocks.agg(F.count(F.lit(1))).first()[0] * (HASHES + 64)
-    side = F.broadcast(blocks) if bytes_held <= BROADCAST_BYTES else blocks
-    texts = df.select(F.col("doc_id").cast("long").alias("rep"), "text").join(side, "rep")
+    places = blocks.groupBy("rep").agg(
+        F.first("sketch").alias("sketch"), F.first("group").alias("group"), F.collect_list(F.struct("block", "side")).alias("places")
+    )
+    places = F.broadcast(places) if bytes_held <= BROADCAST_BYTES else places
+    texts = df.select(F.col("doc_id").cast("long").alias("rep"), "text").join(places, "rep")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pc.fill_null(batch.column(3), "")
+            texts = pc.fill_null(batch.column(4), "")
             for first, last in slices(texts):
                 found = shingle_sets(texts.slice(first, last - first), size)
                 shingles = pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())
-                kept = [batch.column(i).slice(first, last - first) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*kept, shingles], names=["rep", "sketch", "block", "shingles"])
+                kept = [batch.column(i).slice(first, last - first) for i in range(4)]
+                yield pa.RecordBatch.from_arrays([*kept, shingles], names=["rep", "sketch", "group", "places", "shingles"])
 
-    rows = texts.select("rep", "sketch", "block", "text").mapInArrow(
-        sets, "rep long, sketch binary, block long, shingles binary"
+    rows = texts.select("rep", "sketch", "group", "places", "text").mapInArrow(
+        sets, "rep long, sketch binary, group long, places array<struct<block:long,side:int>>, shingles binary"
     )
+    rows = rows.withColumn("place", F.explode("places")).select("rep", "sketch", "group", "place.*", "shingles")
 
     def links(table: pa.Table) -> pa.Table:
-        found = confirm(list(zip(*(table.column(n).to_pylist() for n in ("rep", "sketch", "shingles")))), percent)
+        columns = (table.column(n).to_pylist() for n in ("rep", "sketch", "group", "side", "shingles"))
+        found = confirm(list(zip(*columns)), percent)
         return pa.table(
             {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
         )
@@ -320,12 +388,19 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     described = stage(describe(df, size), "described")
     known = described.filter("doc_id IS NOT NULL AND set_id IS NOT NULL")
     classes = stage(
-        known.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")),
+        known.groupBy("set_id").agg(
+            F.min("doc_id").alias("rep"), *[F.first(name).alias(name) for name in ("n_shingles", "keys", "sketch")]
+        ),
         "classes",
     )
     edges = stage(region_edges(classes, percent), "may-be-similar")
-    blocks = stage(blocks_of(components(edges), classes), "blocks")
+    families = components(edges)
+    blocks = stage(blocks_of(families, classes), "blocks")
     groups = components(confirmed_links(df, blocks, size, percent))
+    rest = stage(remaining_blocks(families, groups, classes, percent), "remaining-blocks")
+    if rest.limit(1).count():
+        known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        groups = components(known.unionByName(confirmed_links(df, rest, size, percent)))
     named = classes.join(groups, F.col("rep") == F.col("node"), "left").select(
         "set_id", F.coalesce("component", "rep").alias("component_id")
     )

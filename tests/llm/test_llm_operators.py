@@ -180,6 +180,48 @@ def test_near_duplicates_in_large_families_and_regions(docs, texts, monkeypatch)
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, 2, 80).collect()} == expected
 
 
+def _chained_cliques(cliques, members):
+    """Texts whose words are shared 0.8 or more within a clique, and somewhat less with the next one."""
+    rng = random.Random(5)
+    texts = []
+    for clique in range(cliques):
+        for member in range(members):
+            own = [f"w{i}" for i in range(30 * clique, 30 * clique + 200)]
+            for k, i in enumerate(rng.sample(range(200), 9)):
+                own[i] = f"u{clique}-{member}-{k}"
+            texts.append(" ".join(own))
+    return texts
+
+
+def test_near_duplicates_of_cliques_chained_in_one_family(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    monkeypatch.setattr(near_dedup, "HUBS", 1)
+    texts = _chained_cliques(12, 6)
+    expected = [root for _, root in _groups(texts, 1, 80)]
+    assert len(set(expected)) == 12
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(rows, 1, 80).collect()}
+    assert got == dict(enumerate(expected))
+
+
+def test_classes_of_a_unit_meet_once(spark):
+    rng = random.Random(2)
+    rows = [(unit, i, b"s", rng.randrange(60, 140), rng.choice([0, 0, 0, i])) for unit in range(2) for i in range(unit * 60, unit * 60 + 60)]
+    frame = spark.createDataFrame(rows, "unit long, rep long, sketch binary, n_shingles long, group long")
+    blocks = {}
+    for r in near_dedup.meetings(frame, 8, 80).collect():
+        blocks.setdefault(r.block, []).append((r.rep, r.side))
+    met = Counter()
+    for own in blocks.values():
+        met.update((a, b) for a, i in own for b, j in own if a < b and (i == 0 or i != j))
+    for unit, a, _, m, one in rows:
+        for other, b, _, n, two in rows:
+            if a < b:
+                assert met[a, b] <= (unit == other)
+                if unit == other and one != two and 5 * min(m, n) >= 4 * max(m, n):
+                    assert met[a, b] == 1
+
+
 def test_rows_without_number_and_repeated_rows_in_near_duplicates(spark):
     text = " ".join(f"v{i}" for i in range(30))
     rows = spark.createDataFrame([(None, text), (4, text), (4, text), (9, text)], "doc_id long, text string")
