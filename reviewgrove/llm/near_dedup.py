@@ -2,10 +2,12 @@
 
 1. Every text becomes the set of hashes of its word shingles, and texts with equal sets become one class.
 2. A class gets a signature of min-hashes, cut into trees. In every tree the classes that share the first values are a
-   region. Classes are sorted by the rest of their signature; a region with many classes is cut where the sorted
-   signatures part at a greater depth, with the last classes of a cut taken over into the next.
+   region. A region of up to REGION classes is looked at whole, in one task. Classes of a crowded one are sorted by the
+   values of the tree and then by the rest of the signature, and taken in cuts, the last classes of a cut again in the next.
 3. Within a cut the signatures give similarity estimates; classes that may be similar are chained. Chains over all
-   trees are families.
+   trees are families. Any two classes of a crowded region that are in different families after that and whose sizes fit
+   meet in a block of two pieces of the region. So a region is never deepened at the expense of its pairs: whatever shares
+   the least depth in one tree is compared.
 4. The full sets of a family come together and every pair that may reach the threshold is confirmed on them, unless it is
    linked already. Families beyond the limit are cut into blocks along several signature orders first; every block also
    gets the most central classes of the family. Any two classes of such a family that this leaves in different groups and
@@ -20,7 +22,7 @@ table gives an empty result. Other columns are not looked at; the stage carries
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -135,7 +137,7 @@ def chains(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
     """Edges between neighbours of sorted ``key, rep, sketch`` rows whose estimate reaches ``least``.
 
     Rows of a region come one after another. They are taken in cuts of at most REGION rows, and a cut begins with
-    the last rows of the one before.
+    the last rows of the one before. Only crowded regions have more than one cut.
     """
     key, reps, sketches = None, [], []
 
@@ -173,17 +175,44 @@ def chains(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
         yield out
 
 
-def region_edges(classes: DataFrame, percent: int) -> DataFrame:
-    """Edges ``a, b`` between classes that may be similar, from all trees."""
+def regions_of(classes: DataFrame) -> DataFrame:
+    """``key, rep, tree, n``: the regions with more than one class."""
     each = classes.select("rep", F.posexplode("keys").alias("tree", "key"))
-    crowded = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    shared = each.join(crowded, "key", "left_semi")
-    # Sorted by the rest of the tree's own values first: a prefix of the sketch that starts at the tree.
-    order = F.substring("sketch", F.col("tree") * LEVELS + 1 + LEAST_DEPTH, F.lit(LEVELS - LEAST_DEPTH))
-    rows = shared.join(classes.select("rep", "sketch"), "rep").withColumn("_order", order)
-    dealt = rows.repartitionByRange("key", "_order", "rep").sortWithinPartitions("key", "_order", "rep")
+    shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return each.join(shared, "key")
+
+
+def region_edges(regions: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Edges ``a, b`` between classes that may be similar, from all trees: all that small regions have, and those between
+    neighbours in crowded ones."""
+    rows = regions.join(classes.select("rep", "sketch"), "rep")
+    small = rows.filter(F.col("n") <= REGION).repartition("key").sortWithinPartitions("key", "rep")
+    # Sorted by the rest of the tree's own values first, then by all others.
+    rest = F.substring("sketch", F.col("tree") * LEVELS + 1 + LEAST_DEPTH, F.lit(HASHES))
+    crowded = rows.filter(F.col("n") > REGION).withColumn("_order", F.concat(rest, "sketch"))
+    crowded = crowded.repartitionByRange("key", "_order", "rep").sortWithinPartitions("key", "_order", "rep")
     least = percent / 100 - SLACK
-    return dealt.select("key", "rep", "sketch").mapInArrow(lambda batches: chains(batches, least), "a long, b long")
+    found = [
+        part.select("key", "rep", "sketch").mapInArrow(lambda batches: chains(batches, least), "a long, b long")
+        for part in (small, crowded)
+    ]
+    return found[0].unionByName(found[1])
+
+
+def crowded_edges(regions: DataFrame, families: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Edges ``a, b`` between classes of a crowded region that may be similar and are in different families."""
+    known = families.select(F.col("node").alias("rep"), F.col("component").alias("group"))
+    rows = regions.filter(F.col("n") > REGION).select(F.col("key").alias("unit"), "rep").join(known, "rep", "left")
+    rows = rows.withColumn("group", F.coalesce("group", "rep")).join(classes.select("rep", "sketch", "n_shingles"), "rep")
+
+    def links(table: pa.Table) -> pa.Table:
+        columns = (table.column(n).to_pylist() for n in ("rep", "sketch", "group", "side", "n_shingles"))
+        found = linked(list(zip(*columns)), percent)
+        return pa.table(
+            {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
+        )
+
+    return meetings(rows, BLOCK, percent).groupBy("block").applyInArrow(links, "a long, b long")
 
 
 def blocks_of(families: DataFrame, classes: DataFrame) -> DataFrame:
@@ -290,18 +319,17 @@ def _hubs(large: DataFrame) -> DataFrame:
     return chosen.join(large.select("rep", "sketch"), "rep")
 
 
-def confirm(rows: list[tuple[int, bytes, int, int, bytes]], percent: int) -> list[tuple[int, int]]:
-    """Links between the classes ``rep, sketch, group, side, shingles`` of a block, confirmed on the full sets.
+def linked(
+    rows: list[tuple[int, bytes, int, int, int]], percent: int, is_link: Callable[[int, int], bool] | None = None
+) -> list[tuple[int, int]]:
+    """Links between the classes ``rep, sketch, group, side, n_shingles`` of a block: pairs whose estimate reaches the
+    threshold less SLACK, the highest first, and for which ``is_link`` holds on their places in ``rows``.
 
     Classes of one group are linked already, and classes on the same side, other than side 0, do not meet here.
     """
-    rows = sorted(dict((row[0], row) for row in rows).values())
     n = len(rows)
     matrix = np.frombuffer(b"".join(row[1] for row in rows), np.uint8).reshape(n, HASHES)
-    groups, sides = (np.array([row[k] for row in rows]) for k in (2, 3))
-    arrays = [np.frombuffer(row[4], "<u8") for row in rows]
-    sizes = np.array([len(a) for a in arrays])
-    sets: list[set | None] = [None] * n
+    groups, sides, sizes = (np.array([row[k] for row in rows]) for k in (2, 3, 4))
     _, at, place = np.unique(groups, return_index=True, return_inverse=True)
     root = at[place].tolist()
 
@@ -311,17 +339,6 @@ def confirm(rows: list[tuple[int, bytes, int, int, bytes]], percent: int) -> lis
             i = root[i]
         return i
 
-    held = 0
-
-    def members(i: int) -> set:
-        nonlocal held
-        if sets[i] is None:
-            if held > SETS_HELD:
-                sets[:], held = [None] * n, 0
-            sets[i] = set(arrays[i].tolist())
-            held += len(arrays[i])
-        return sets[i]
-
     first, second, estimates = [], [], []
     for i in range(n - 1):
         fits = 100 * np.minimum(sizes[i + 1 :], sizes[i]) >= percent * np.maximum(sizes[i + 1 :], sizes[i])
@@ -340,16 +357,35 @@ def confirm(rows: list[tuple[int, bytes, int, int, bytes]], percent: int) -> lis
         order = np.argsort(-np.concatenate(estimates), kind="stable")
         for i, j in pairs[order].tolist():
             a, b = find(i), find(j)
-            if a == b:
-                continue
-            one, other = members(i), members(j)
-            common = len(one & other)
-            if 100 * common >= percent * (int(sizes[i]) + int(sizes[j]) - common):
+            if a != b and (is_link is None or is_link(i, j)):
                 root[max(a, b)] = min(a, b)
                 links.append((rows[j][0], rows[i][0]))
     return links
 
 
+def confirm(rows: list[tuple[int, bytes, int, int, bytes]], percent: int) -> list[tuple[int, int]]:
+    """Links between the classes ``rep, sketch, group, side, shingles`` of a block, confirmed on the full sets."""
+    rows = sorted(dict((row[0], row) for row in rows).values())
+    arrays = [np.frombuffer(row[4], "<u8") for row in rows]
+    sets: list[set | None] = [None] * len(rows)
+    held = 0
+
+    def members(i: int) -> set:
+        nonlocal held
+        if sets[i] is None:
+            if held > SETS_HELD:
+                sets[:], held = [None] * len(rows), 0
+            sets[i] = set(arrays[i].tolist())
+            held += len(arrays[i])
+        return sets[i]
+
+    def is_link(i: int, j: int) -> bool:
+        common = len(members(i) & members(j))
+        return 100 * common >= percent * (len(arrays[i]) + len(arrays[j]) - common)
+
+    return linked([(*row[:4], len(own)) for row, own in zip(rows, arrays)], percent, is_link)
+
+
 def confirmed_links(df: DataFrame, blocks: DataFrame, size: int, percent: int) -> DataFrame:
     """Links of all blocks. Only the sets of classes in blocks are made, each once, and each goes to its blocks."""
     bytes_held = blocks.agg(F.count(F.lit(1))).first()[0] * (HASHES + 64)
@@ -393,8 +429,12 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
         ),
         "classes",
     )
-    edges = stage(region_edges(classes, percent), "may-be-similar")
-    families = components(edges)
+    regions = stage(regions_of(classes), "regions")
+    families = components(stage(region_edges(regions, classes, percent), "may-be-similar"))
+    more = stage(crowded_edges(regions, families, classes, percent), "may-be-similar")
+    if more.limit(1).count():
+        known = families.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        families = components(known.unionByName(more))
     blocks = stage(blocks_of(families, classes), "blocks")
     groups = components(confirmed_links(df, blocks, size, percent))
     rest = stage(remaining_blocks(families, groups, classes, percent), "remaining-blocks")

@@ -204,6 +204,34 @@ def test_near_duplicates_of_cliques_chained_in_one_family(spark, monkeypatch):
     assert got == dict(enumerate(expected))
 
 
+def test_classes_of_a_crowded_region_meet(spark, monkeypatch):
+    """Rows that are equal in the values of a tree and far apart by number become candidates, over the borders of cuts and tasks."""
+    monkeypatch.setattr(near_dedup, "REGION", 4)
+    monkeypatch.setattr(near_dedup, "OVERLAP", 1)
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    rng = random.Random(9)
+    cliques = [[rng.randrange(256) for _ in range(near_dedup.HASHES)] for _ in range(10)]
+    rows = []
+    for rep in range(60):
+        sketch = list(cliques[rep % 10])
+        for i in rng.sample(range(near_dedup.HASHES), 8):
+            sketch[i] = rng.randrange(256)
+        rows.append((rep, 100, [1], bytes([7] * near_dedup.LEVELS + sketch[near_dedup.LEVELS :])))
+    classes = spark.createDataFrame(rows, "rep long, n_shingles long, keys array<long>, sketch binary").persist()
+    regions = near_dedup.regions_of(classes).persist()
+    families = components(near_dedup.region_edges(regions, classes, 80))
+    more = near_dedup.crowded_edges(regions, families, classes, 80)
+    every = families.selectExpr("node AS a", "component AS b").unionByName(more)
+    assert {r.node: r.component for r in components(every).collect()} == {rep: rep % 10 for rep in range(60)}
+
+
+def test_near_duplicates_with_crowded_regions(docs, texts, monkeypatch):
+    monkeypatch.setattr(near_dedup, "REGION", 4)
+    monkeypatch.setattr(near_dedup, "OVERLAP", 1)
+    expected = {i * 3: 3 * root for i, (_, root) in enumerate(_groups(texts, 2, 80))}
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, 2, 80).collect()} == expected
+
+
 def test_classes_of_a_unit_meet_once(spark):
     rng = random.Random(2)
     rows = [(unit, i, b"s", rng.randrange(60, 140), rng.choice([0, 0, 0, i])) for unit in range(2) for i in range(unit * 60, unit * 60 + 60)]
