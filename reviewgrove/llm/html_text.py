@@ -1,9 +1,11 @@
 """Main text of web pages by the distribution of text over lines.
 
 Markup is stripped to one line per block. Lines inside menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments count as empty, and so do lines outside the article if the page marks one. The lengths of the lines are
-summed over a sliding window: text surges where the sum leaves zero and dives where it falls back to it. What lies between
-a surge and its dive is kept if the sum reaches a least height there, and all of its lines are kept in page order.
+reader comments count as empty; a form that holds most of the text is the page itself. The lengths of the lines are summed over
+a sliding window, those of a marked article and those of the rest apart: text surges where the sum leaves zero and dives
+where it falls back to it. What lies between a surge and its dive is kept if the sum reaches a least height there, and all
+of its lines are kept in page order. Marks are weights of a line: in an article it counts as SURGE at least, in a part named
+like one NAMED times its length.
 
 Defined cases: a null or empty page has an empty text; repeated rows give the same text each; markup that is never closed ends with
 the element around it; an empty table gives an empty result. Other columns are carried.
@@ -24,8 +26,11 @@ from pyspark.sql import types as T
 from reviewgrove.llm.batches import alongside
 
 WINDOW = 3
-# Least window sum of a kept part where the page marks no article; with one, any text will do.
+# Least window sum of a kept part, or the largest one of a page without an article if that is less.
 SURGE = 80
+NAMED = 2
+# A form with more than this share of the text that lies in no other part around the article does not count as one.
+FORM_SHARE = 0.5
 # A line is a list of links if they make up this share of it.
 LINK_SHARE = 0.8
 
@@ -37,7 +42,7 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Their content is no markup.
 RAW = frozenset("script style noscript template textarea title iframe svg math noembed noframes xmp".split())
-OUTSIDE = frozenset("nav footer aside form button select menu dialog datalist head object audio video canvas".split())
+OUTSIDE = frozenset("nav footer aside button select menu dialog datalist head object audio video canvas".split())
 OUTSIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie "
     "cookies copyright discussion disqus footer legal login masthead menu modal nav navbar navigation newsletter notice "
@@ -63,6 +68,7 @@ class Line:
     text: str
     links: int
     outside: bool
+    form: bool
     # 2 inside an article, 1 inside a part named like one.
     inside: int
 
@@ -71,6 +77,7 @@ class Line:
 class Element:
     name: str
     outside: bool
+    form: bool
     inside: int
 
 
@@ -85,7 +92,7 @@ class Stripper:
     links: int = 0
 
     def top(self) -> Element:
-        return self.stack[-1] if self.stack else Element("", False, 0)
+        return self.stack[-1] if self.stack else Element("", False, False, 0)
 
     def text(self, source: str) -> None:
         if source:
@@ -98,7 +105,7 @@ class Stripper:
         text = " ".join("".join(self.pieces).split())
         if text:
             top = self.top()
-            self.lines.append(Line(text, len(" ".join("".join(self.linked).split())), top.outside, top.inside))
+            self.lines.append(Line(text, len(" ".join("".join(self.linked).split())), top.outside, top.form, top.inside))
         self.pieces.clear()
         self.linked.clear()
 
@@ -111,7 +118,9 @@ class Stripper:
         if name in VOID:
             return
         outside, inside = around(name, source, self.top())
-        self.stack.append(Element(name, outside, inside))
+        # An article in a form is as good as one outside.
+        form = (self.top().form or name == "form") and not (name in ("article", "main") and not outside)
+        self.stack.append(Element(name, outside, form, inside))
         self.links += name == "a"
 
     def close(self, name: str) -> None:
@@ -176,15 +185,32 @@ def around(name: str, source: str, parent: Element) -> tuple[bool, int]:
 
 def kept_lines(lines: Sequence[Line]) -> list[str]:
     """Text between the surges and dives of the window sums."""
-    marked = max((line.inside for line in lines if not line.outside), default=0)
-    sizes = []
+    around_forms = sum(len(line.text) for line in lines if not line.outside)
+    # A form inside an article is never the page itself.
+    in_forms = sum(len(line.text) for line in lines if line.form and not line.outside and line.inside < 2)
+    page_form = in_forms > FORM_SHARE * around_forms
+    article, rest = [], []
     for line in lines:
-        empty = line.outside or line.inside < marked
-        if not marked and line.links >= LINK_SHARE * len(line.text):
+        empty = line.outside or line.form and (not page_form or line.inside == 2)
+        if not line.inside and line.links >= LINK_SHARE * len(line.text):
             empty = True
-        sizes.append(0 if empty else len(line.text))
-    sums = [sum(sizes[i : i + WINDOW]) for i in range(len(sizes))]
-    parts, at = [], 0
+        size = 0 if empty else len(line.text)
+        article.append(max(size, SURGE) if size and line.inside == 2 else 0)
+        rest.append(size * (NAMED if line.inside else 1) if line.inside < 2 else 0)
+    kept = {i for surge, dive in parts(article, SURGE) for i in range(surge, dive) if article[i]}
+    least = SURGE if kept else min(SURGE, max(window_sums(rest), default=0))
+    kept |= {i for surge, dive in parts(rest, least) for i in range(surge, dive) if rest[i]}
+    return [line.text for i, line in enumerate(lines) if i in kept]
+
+
+def window_sums(sizes: Sequence[int]) -> list[int]:
+    return [sum(sizes[i : i + WINDOW]) for i in range(len(sizes))]
+
+
+def parts(sizes: Sequence[int], least: int) -> list[tuple[int, int]]:
+    """Surge and dive of each part whose window sum reaches ``least``."""
+    sums = window_sums(sizes)
+    found, at = [], 0
     while at < len(sums):
         if not sums[at]:
             at += 1
@@ -192,10 +218,10 @@ def kept_lines(lines: Sequence[Line]) -> list[str]:
         dive = at
         while dive < len(sums) and sums[dive]:
             dive += 1
-        parts.append((max(sums[at:dive]), at, dive))
+        if max(sums[at:dive]) >= least:
+            found.append((at, dive))
         at = dive
-    least = 1 if marked else min(SURGE, max((height for height, _, _ in parts), default=0))
-    return [lines[i].text for height, surge, dive in parts if height >= least for i in range(surge, dive) if sizes[i]]
+    return found
 
 
 def main_text(page: str) -> str:

@@ -520,6 +520,21 @@ PAGES = {
 }
 
 
+BODY = ["The first paragraph has enough words to be the body of a page and no mark of its own.", "The second one goes on in the same way."]
+
+
+def test_main_text_by_windows():
+    """Marks do not decide alone: a marked title, a page-wide form, and long text beside an article."""
+    body = "".join(f"<p>{text}</p>" for text in BODY)
+    whole = " ".join(BODY)
+    assert html_text.main_text(f"<div class='entry-meta'>by Ann</div><div>{body}</div>") == "by Ann " + whole
+    assert html_text.main_text(f"<div class='post-title'>T</div><ul><li><a href='/'>x</a></ul><div>{body}</div>") == "T " + whole
+    assert html_text.main_text(f"<form action='x'><nav>no</nav><div>{body}</div><input></form><div class='footer'>f</div>") == whole
+    assert html_text.main_text(f"<form><article>{body}</article><p>Go</p></form>") == whole
+    far = "".join(f"<p><a href='/{i}'>link {i}</a></p>" for i in range(5))
+    assert html_text.main_text(f"<article><p>Short.</p></article>{far}<p>Go</p>{far}<div>{body}</div>") == "Short. " + whole
+
+
 def test_main_text(spark):
     for page, text in PAGES.items():
         assert html_text.main_text(page) == text
