@@ -147,10 +147,13 @@ def _spans(members: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, np.flatnonzero(members & ~after) + 1
 
 
-def words(texts: pa.Array, members: np.ndarray, fold: np.ndarray = LOWER) -> Words:
-    """All words of ``texts``, hashed as folded. Long data are hashed piece by piece, cut between words."""
+def words(texts: pa.Array, members: np.ndarray | Callable, fold: np.ndarray = LOWER) -> Words:
+    """All words of ``texts``, hashed as folded. Long data are hashed piece by piece, cut between words.
+
+    ``members`` tells the bytes of words by their value, or is a function from all bytes to true and false.
+    """
     data, offsets = utf8(texts)
-    is_word = members[data]
+    is_word = members(data) if callable(members) else members[data]
     inner = offsets[:-1]
     starts, ends = _spans(is_word, inner[inner < len(data)])
     hashes = np.empty(len(starts), np.uint64)

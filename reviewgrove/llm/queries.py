@@ -11,11 +11,14 @@ from reviewgrove.llm import (
     html_text,
     id_blocks,
     language_model,
+    mixing,
     near_dedup,
     packing,
     perspectives,
     quality_rules,
+    ranked_search,
     sharding,
+    spelling,
     url_filter,
 )
 
@@ -73,6 +76,18 @@ def op10_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assignments(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 REGISTERED: dict[str, Query] = {
     "op1_perspectives": op1_perspectives,
     "op2_id_blocks": op2_id_blocks,
@@ -84,8 +99,14 @@ REGISTERED: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality_rules": op9_quality_rules,
     "op10_hash_ring": op10_hash_ring,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_spelling": op12_spelling,
+    "op13_mixing": op13_mixing,
 }
 SQL: dict[str, str] = {
     "op1_perspectives": perspectives.SQL,
     "op6_url_filter": url_filter.sql(),
+    "op11_ranked_search": ranked_search.SQL,
+    "op12_spelling": spelling.SQL,
+    "op13_mixing": mixing.SQL,
 }
