@@ -12,7 +12,7 @@ from reviewgrove.llm.queries import REGISTERED, SQL
 
 def test_registered_queries_are_in_the_contract():
     names = {*REGISTERED, "pipeline"}
-    assert names <= set(contract.queries()) and len(names) == 11
+    assert names <= set(contract.queries()) and len(names) == 14
     assert set(SQL) <= set(contract.oracle_sql())
 
 
