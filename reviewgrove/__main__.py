@@ -23,12 +23,14 @@ def main() -> None:
     parser.add_argument("--min-df", type=float, default=10.0)
     parser.add_argument("--max-df", type=float)
     parser.add_argument("--vocab-size", type=int, default=1 << 18)
+    parser.add_argument("--bad-lines", help="folder for lines of a JSON input that are no records")
+    parser.add_argument("--ledger", help="folder for finished models, from which a second start goes on")
     parser.add_argument("--parallelism", type=int, default=4, help="models trained at a time")
     args = parser.parse_args()
     if not args.local and args.output is None:
         parser.error("OUTPUT is needed unless --local is given")
     spark = create_session(args.local)
-    run(
+    result = run(
         spark,
         args.input,
         args.output,
@@ -43,7 +45,15 @@ def main() -> None:
         max_df=args.max_df,
         vocab_size=args.vocab_size,
         parallelism=args.parallelism,
+        bad_lines=args.bad_lines,
+        ledger=args.ledger,
     )
+    if result.n_dropped or result.n_left_out or result.n_bad_lines:
+        print(
+            f"{result.n_terms} terms; {result.n_dropped} more were cut off by the size of the vocabulary, "
+            f"{result.n_left_out} were not given to the forest, {result.n_bad_lines} lines were no records"
+        )
+    result.close()
 
 
 if __name__ == "__main__":

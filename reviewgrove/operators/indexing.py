@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -52,3 +54,32 @@ def feature_categories(cells: DataFrame, n_docs: int | Column, max_categories: i
     )
     n_values = F.when(F.col("df") == n_docs, F.lit(1).cast("bigint")).otherwise(F.col("n_tf") + 1)
     return counts.select("term", n_values.alias("n_values"), (n_values <= max_categories).alias("is_categorical"))
+
+
+def value_mapping(cells: DataFrame, n_docs: int | Column, max_categories: int = MAX_CATEGORIES) -> DataFrame:
+    """``term, tf, code, n_values`` of every categorical feature, from the long counts of the texts it is learnt from.
+
+    Values are coded in rising order, and the zero of the texts without the term has the first code. A term of every text
+    has weight zero everywhere, so all its counts have the code of zero. There is one row per term and code, at most
+    ``max_categories`` of them, so no list of values is ever gathered.
+    """
+    categorical = feature_categories(cells, n_docs, max_categories).filter("is_categorical").select("term", "n_values")
+    values = cells.select("term", "tf").distinct().join(categorical, "term")
+    is_constant = F.col("n_values") == 1
+    code = F.when(is_constant, 0).otherwise(F.row_number().over(Window.partitionBy("term").orderBy("tf")))
+    nonzero = values.select("term", "tf", code.cast("int").alias("code"), "n_values")
+    zero = categorical.select("term", F.lit(0).alias("tf"), F.lit(0).alias("code"), "n_values")
+    return nonzero.unionByName(zero)
+
+
+def indexed_values(weights: DataFrame, mapping: DataFrame, columns: Sequence[str] = ("doc_id", "term")) -> DataFrame:
+    """``columns, value`` out of long weights (``term, tf, tfidf``): the code where the feature is categorical, else the weight.
+
+    A value that the mapping has not seen gets the code behind the last one. Cells that are not there are zeros and stay zeros.
+    """
+    known = mapping.groupBy("term").agg(F.max("n_values").alias("n_values"))
+    codes = mapping.filter("tf > 0").select("term", "tf", "code")
+    joined = weights.join(known, "term", "left").join(codes, ["term", "tf"], "left")
+    unseen = F.when(F.col("n_values") == 1, 0).otherwise(F.col("n_values"))
+    value = F.when(F.col("n_values").isNull(), F.col("tfidf")).otherwise(F.coalesce("code", unseen).cast("double"))
+    return joined.select(*columns, value.alias("value"))

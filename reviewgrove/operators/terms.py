@@ -134,9 +134,34 @@ def _measure(terms: DataFrame) -> tuple[int, int]:
     return row["n"], row["chars"] + row["n"] * _BYTES_PER_ROW
 
 
-def weigh(cells: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Add ``tfidf`` to long term counts and drop terms outside the vocabulary."""
-    return cells.join(vocabulary.side("term", "idf"), "term").select(
-        *[c for c in cells.columns if c != "idf"],
+def lowest_hot_count(vocabulary: Vocabulary, limit: int = BROADCAST_LIMIT) -> int | None:
+    """The lowest corpus count at which all terms from there upwards fit ``limit`` bytes together; None if not even the first do.
+
+    Found from the bytes per count, a far shorter table than the terms.
+    """
+    size = F.sum(F.octet_length("term") + _BYTES_PER_ROW)
+    per_count = vocabulary.table.groupBy("corpus_count").agg(size.alias("size"))
+    upto = F.sum("size").over(Window.orderBy(F.desc("corpus_count")).rowsBetween(Window.unboundedPreceding, 0))
+    return per_count.select("corpus_count", upto.alias("upto")).filter(F.col("upto") <= limit).agg(F.min("corpus_count")).first()[0]
+
+
+def weigh(cells: DataFrame, vocabulary: Vocabulary, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Add ``tfidf`` to long term counts and drop terms outside the vocabulary.
+
+    A vocabulary of up to ``limit`` bytes is broadcast. Of a larger one the most frequent terms, as many as fit, are
+    broadcast, and they hold most of the cells. Only the cells of the other terms are shuffled to meet theirs, so no
+    term with very many cells goes through a shuffle.
+    """
+    sides = vocabulary.table.select("term", "idf", "corpus_count")
+    if vocabulary.n_bytes <= limit:
+        joined = cells.join(F.broadcast(sides), "term")
+    elif (least := lowest_hot_count(vocabulary, limit)) is None:
+        joined = cells.join(sides, "term")
+    else:
+        hot = F.broadcast(sides.filter(F.col("corpus_count") >= least))
+        rest = cells.join(hot.select("term"), "term", "left_anti")
+        joined = cells.join(hot, "term").unionByName(rest.join(sides.filter(F.col("corpus_count") < least), "term"))
+    return joined.select(
+        *[c for c in cells.columns if c not in ("idf", "corpus_count")],
         (F.col("tf") * F.col("idf")).alias("tfidf"),
     )

@@ -11,6 +11,7 @@ from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from reviewgrove.operators.terms import MIN_DF, VOCAB_SIZE, fit_vocabulary, term_counts
 
@@ -29,7 +30,8 @@ class TfIdf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, Default
 
     Counting runs as one distributed aggregation over the texts. Only the final terms, at most
     ``vocabSize`` of them, reach the driver, where CountVectorizer would merge all candidates.
-    Equal counts are ordered by the term, so the vector positions do not depend on the layout.
+    Equal counts are ordered by the term, so the vector positions do not depend on the layout. The fitted model has
+    ``n_dropped``, the number of terms that ``vocabSize`` left out, and the table ``positions`` (``indices, term``).
     """
 
     minDF = Param(Params._dummy(), "minDF", "least number (or share) of texts", TypeConverters.toFloat)
@@ -75,7 +77,12 @@ class TfIdf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, Default
             inputCol=COUNTS_COL,
             outputCol=self.getOutputCol(),
         )
-        return PipelineModel([counts, weights])
+        model = PipelineModel([counts, weights])
+        model.n_dropped = vocabulary.n_dropped
+        # At most vocabSize rows, numbered as the list above.
+        place = F.row_number().over(Window.orderBy(F.desc("corpus_count"), "term")) - 1
+        model.positions = vocabulary.table.select(place.alias("indices"), "term")
+        return model
 
 
 def counting_model(terms: list[str], input_col: str, output_col: str) -> CountVectorizerModel:

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewgrove.operators.choice import best_terms, label_counts, term_chi_square
 from reviewgrove.operators.scores import accuracy
 from reviewgrove.operators.split import TEST, TRAIN, fold, part
-from reviewgrove.operators.terms import MIN_DF, VOCAB_SIZE
-from reviewgrove.operators.vectors import vocabulary_of
+from reviewgrove.operators.terms import MIN_DF, VOCAB_SIZE, term_counts
+from reviewgrove.operators.vectors import TfIdf, vocabulary_of
 from reviewgrove.plans import tuning
-from reviewgrove.plans.features import ID, LABEL, TEXT, TFIDF, review_words, weight_stage
+from reviewgrove.plans.features import ID, LABEL, TFIDF, WORDS_STEMMED, review_words, weight_stage
 from reviewgrove.plans.report import grid_scores, report
-from reviewgrove.session import held, stage
-from reviewgrove.sources.reviews import read_reviews, spread
-from reviewgrove.sources.sinks import show, write_csv
+from reviewgrove.plans.search import Ledger
+from reviewgrove.session import Staged, held, owning, stage
+from reviewgrove.sources.reviews import read_reviews, read_reviews_checked, spread
+from reviewgrove.sources.sinks import publish_csv, show
 
 FOLD = "fold"
 PART = "part"
@@ -35,20 +38,36 @@ def bounded_rows(df: DataFrame, limit: int = FOREST_ROWS) -> DataFrame:
     return df if total <= limit else df.filter(F.pmod(F.xxhash64(ID), F.lit(_PARTS)) < _PARTS * limit // total)
 
 
-def bounded_features(model: PipelineModel, limit: int = FOREST_FEATURES) -> PipelineModel:
-    """``model`` with its most frequent ``limit`` terms for the forest; as it is if it has no more."""
-    n_terms = len(vocabulary_of(model))
-    if n_terms <= limit:
+def bounded_features(model: PipelineModel, train: DataFrame, limit: int = FOREST_FEATURES) -> PipelineModel:
+    """``model`` with the ``limit`` terms for the forest that depend most on the label; as it is if it has no more.
+
+    The statistic comes from one aggregate over the training words; only the chosen terms reach the driver.
+    """
+    vocabulary = vocabulary_of(model)
+    if len(vocabulary) <= limit:
         return model
+    cells = term_counts(train, WORDS_STEMMED, keep=[LABEL])
+    statistics = term_chi_square(cells, label_counts(train, LABEL), LABEL)
+    known = statistics.filter(F.col("df") >= 1)
+    position = {term: i for i, term in enumerate(vocabulary)}
+    # Terms outside the vocabulary were too rare for it, so they are left out before the best are taken.
+    terms = train.sparkSession.createDataFrame(pd.DataFrame({"term": vocabulary}))
+    chosen = best_terms(known.join(terms, "term", "left_semi"), limit)
+    indices = sorted(position[row["term"]] for row in chosen.select("term").collect())
     wide = f"{TFIDF}_all"
-    terms = model.stages[:-1]
     weights = model.stages[-1].copy({model.stages[-1].outputCol: wide})
-    return PipelineModel([*terms, weights, VectorSlicer(inputCol=wide, outputCol=TFIDF, indices=list(range(limit)))])
+    return PipelineModel([*model.stages[:-1], weights, VectorSlicer(inputCol=wide, outputCol=TFIDF, indices=indices)])
 
 
 @dataclass(frozen=True)
 class JobResult:
-    """What the job found out. ``predictions`` is lazy; the other tables are small."""
+    """What the job found out. ``predictions`` and ``accuracy`` are lazy; the other tables are small.
+
+    ``n_terms`` is the size of the vocabulary, ``n_dropped`` the number of terms that ``vocab_size`` cut off, and
+    ``n_left_out`` those of the vocabulary that the forest was not given. The result owns its staged tables: ``close`` deletes
+    them, and so does leaving it as a context. Lazy tables have to be read before. ``train`` are the rows of the grid
+    search, and with a ledger ``run`` is the name of the search in it.
+    """
 
     report: DataFrame
     scores: DataFrame
@@ -56,6 +75,22 @@ class JobResult:
     predictions: DataFrame
     features_model: PipelineModel
     model: PipelineModel
+    n_terms: int
+    n_dropped: int
+    n_left_out: int
+    train: DataFrame
+    run: str | None
+    staged: Staged
+    n_bad_lines: int = 0
+
+    def close(self) -> None:
+        self.staged.close()
+
+    def __enter__(self) -> JobResult:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
 
 def split_words(reviews: DataFrame, folds: int, is_test: bool = False) -> DataFrame:
@@ -85,26 +120,40 @@ def learn(
     seed: int = 123,
     forest_rows: int = FOREST_ROWS,
     forest_features: int = FOREST_FEATURES,
+    ledger: str | None = None,
 ) -> JobResult:
     """Tune and score a forest on review records (``reviewText``, ``overall`` and, if there is one, ``doc_id``).
 
     Vocabulary and weights come from the training part; ``fit_on_all`` takes all rows instead, which
     lets the test part influence its own features. The forest is fitted on at most about ``forest_rows`` of the
-    training rows and on the ``forest_features`` most frequent terms; all test rows are scored.
+    training rows and on the ``forest_features`` terms that depend most on the label; all test rows are scored.
+    ``ledger`` names a folder for finished models; a second start with the same data and grid goes on from there.
     """
+    with owning(reviews.sparkSession) as staged:
+        return _learn(
+            reviews, with_indexers, is_test, grid or tuning.GRIDS["indexed" if with_indexers else "default"],
+            weight_stage(min_df, vocab_size, max_df=max_df), fit_on_all, parallelism, seed, forest_rows, forest_features, ledger, staged,
+        )
+
+
+def _learn(
+    reviews: DataFrame, with_indexers: bool, is_test: bool, grid: tuning.Grid, weights: TfIdf, fit_on_all: bool, parallelism: int,
+    seed: int, forest_rows: int, forest_features: int, ledger: str | None, staged: Staged,
+) -> JobResult:
     spark = reviews.sparkSession
-    grid = grid or tuning.GRIDS["indexed" if with_indexers else "default"]
     words = split_words(reviews, grid.folds, is_test)
     tuning.check_labels(words)
     fit_rows = words if fit_on_all else words.filter(F.col(PART) == TRAIN)
-    features_model = weight_stage(min_df, vocab_size, max_df=max_df).fit(fit_rows)
-    narrow = bounded_features(features_model, forest_features)
+    features_model = weights.fit(fit_rows)
+    narrow = bounded_features(features_model, words.filter(F.col(PART) == TRAIN), forest_features)
+    n_terms = len(vocabulary_of(features_model))
+    kept = Ledger(spark, ledger) if ledger is not None else None
     features = narrow.transform(words).select(ID, LABEL, FOLD, PART, TFIDF)
     with held(bounded_rows(features.filter(F.col(PART) == TRAIN), forest_rows).drop(PART)) as train:
         if with_indexers:
-            stages = tuning.indexed_stages(train, grid, FOLD, parallelism, seed)
+            stages = tuning.indexed_stages(train, grid, FOLD, parallelism, seed, kept)
         else:
-            stages = tuning.plain_stages(grid, FOLD, parallelism, seed)
+            stages = tuning.plain_stages(grid, FOLD, parallelism, seed, kept)
         model = stages.fit(train)
     search = tuning.search_of(model)
     predictions = model.transform(features.filter(F.col(PART) == TEST).drop(PART))
@@ -116,6 +165,12 @@ def learn(
         predictions=predictions,
         features_model=features_model,
         model=model,
+        n_terms=n_terms,
+        n_dropped=features_model.n_dropped,
+        n_left_out=max(n_terms - forest_features, 0),
+        train=train,
+        run=search.run if kept is not None else None,
+        staged=staged,
     )
 
 
@@ -129,20 +184,32 @@ def run(
     input_format: str = "json",
     base_path: str | None = None,
     infer: bool = False,
+    bad_lines: str | None = None,
     **options,
 ) -> JobResult:
     """Read reviews, learn, and report the best parameters. ``options`` are those of ``learn``.
 
-    On a cluster the report goes to ``output_path`` as CSV with a header, locally to the console.
+    On a cluster the report goes to ``output_path`` as CSV with a header, locally to the console. The old report stays until the
+    new one is complete. ``bad_lines`` names a folder for lines of a JSON input that are no records; without it they are
+    rows of nulls, and the job stops at their missing labels.
     """
-    reviews = read_reviews(spark, input_path, input_format, base_path, infer)
+    with owning(spark) as scanned:
+        if bad_lines is not None and input_format == "json":
+            scan = read_reviews_checked(spark, input_path, bad_lines)
+            reviews, n_bad = scan.good, scan.n_bad()
+        else:
+            reviews, n_bad = read_reviews(spark, input_path, input_format, base_path, infer), 0
     if not is_test:
-        key = ID if ID in reviews.columns else TEXT
-        reviews = spread(reviews, key)
-    result = learn(reviews, with_indexers=with_indexers, is_test=is_test, **options)
+        # Without an id no column is fit to deal rows by: many texts are null or equal.
+        reviews = spread(reviews, ID if ID in reviews.columns else None)
+    try:
+        result = learn(reviews, with_indexers=with_indexers, is_test=is_test, **options)
+    finally:
+        # The words of the reviews are staged by now.
+        scanned.close()
     if is_local:
         show(result.report)
     else:
-        write_csv(result.report, output_path)
+        publish_csv(result.report, output_path)
     show(result.accuracy)
-    return result
+    return replace(result, n_bad_lines=n_bad)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from reviewgrove.operators.indexing import MAX_CATEGORIES
 from reviewgrove.operators.scores import accuracy_evaluator
 from reviewgrove.plans.features import LABEL, TFIDF
+from reviewgrove.plans.search import Ledger, LedgerValidator
 
 PREDICTION = "prediction"
 PREDICTED_LABEL = "predictedLabel"
@@ -109,13 +110,15 @@ def cross_validator(
     fold_col: str | None = None,
     parallelism: int = 4,
     seed: int = 123,
+    ledger: Ledger | None = None,
 ) -> CrossValidator:
     """Grid search by accuracy. With ``fold_col`` the folds come from the data and not from a random draw.
 
     ``parallelism`` models are trained at a time, so the short jobs of one forest do not leave the
-    cluster idle.
+    cluster idle. With a ``ledger`` finished models are kept there, and a second start fits only the others.
     """
-    return CrossValidator(
+    search = CrossValidator if ledger is None else LedgerValidator
+    validator = search(
         estimator=estimator,
         estimatorParamMaps=param_maps(estimator, grid.values),
         evaluator=accuracy_evaluator(estimator.getLabelCol(), PREDICTION),
@@ -124,15 +127,25 @@ def cross_validator(
         parallelism=parallelism,
         seed=seed,
     )
+    if ledger is not None:
+        validator.ledger = ledger
+    return validator
 
 
-def plain_stages(grid: Grid, fold_col: str | None = None, parallelism: int = 4, seed: int = 123) -> Pipeline:
+def plain_stages(
+    grid: Grid, fold_col: str | None = None, parallelism: int = 4, seed: int = 123, ledger: Ledger | None = None
+) -> Pipeline:
     """Forest on the features and labels as they are."""
-    return Pipeline(stages=[cross_validator(forest(seed=seed), grid, fold_col, parallelism, seed)])
+    return Pipeline(stages=[cross_validator(forest(seed=seed), grid, fold_col, parallelism, seed, ledger)])
 
 
 def indexed_stages(
-    train: DataFrame, grid: Grid, fold_col: str | None = None, parallelism: int = 4, seed: int = 123
+    train: DataFrame,
+    grid: Grid,
+    fold_col: str | None = None,
+    parallelism: int = 4,
+    seed: int = 123,
+    ledger: Ledger | None = None,
 ) -> Pipeline:
     """Forest on indexed labels and features, with the prediction turned back into a label.
 
@@ -143,7 +156,7 @@ def indexed_stages(
     features = VectorIndexer(
         inputCol=TFIDF, outputCol=INDEXED_FEATURES, maxCategories=MAX_CATEGORIES, handleInvalid="keep"
     )
-    search = cross_validator(forest(INDEXED_LABEL, INDEXED_FEATURES, seed), grid, fold_col, parallelism, seed)
+    search = cross_validator(forest(INDEXED_LABEL, INDEXED_FEATURES, seed), grid, fold_col, parallelism, seed, ledger)
     names = IndexToString(inputCol=PREDICTION, outputCol=PREDICTED_LABEL, labels=labels.labels)
     return Pipeline(stages=[labels, features, search, names])
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from reviewgrove.functions import cleaning, stemming
-
 # The English stop words that ship with Spark, written out so that the SQL needs neither a session nor
 # Spark's files. A test compares them to what a session loads.
 STOP_WORDS = """
@@ -19,7 +17,20 @@ STOP_WORDS = """
     would
 """.split()
 
-REPLACED = (cleaning.EMAIL, "\n|\t", cleaning.DIGIT_TOKEN, cleaning.SINGLE_LETTER, cleaning.NON_WORD)
+# The patterns of the cleaning steps, in the order of use. Written out, as the rules below, so that the SQL does
+# not follow a mistake in what it is compared with.
+REPLACED = (r"\S+@\S+\s", "\n|\t", r"\S*\d+\S*", r"\s\W*\w\W*\s", r"\W+")
+# Irregular words, and the suffixes with their replacements, of the common variant of Porter's algorithm.
+IRREGULAR = """
+    sky sky skies sky dying die lying lie tying tie news news innings inning inning inning outings outing outing outing
+    cannings canning canning canning howe howe proceed proceed exceed exceed succeed succeed
+""".split()
+SECOND = """
+    ational ate tional tion enci ence anci ance izer ize bli ble entli ent eli e ousli ous ization ize ation ate ator ate
+    alism al iveness ive fulness ful ousness ous aliti al iviti ive biliti ble fulli ful logi log
+""".split()
+THIRD = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
+FOURTH = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize".split()
 # The largest number of terms of the fitted stage.
 VOCAB_SIZE = 1 << 18
 LABEL = "1 + 2 * quality + (1 - toxic)"
@@ -128,8 +139,8 @@ def _suffixes(rules: dict[str, str], least: int, extra_l: tuple[str, ...] = ())
 
 def stems_cte(terms: str) -> str:
     """CTEs up to ``stems(term, stem)`` from a query that gives distinct ``term``."""
-    irregular = ", ".join(f"('{word}', '{stem}')" for word, stem in stemming.IRREGULAR.items())
-    rules_2 = {k: v for k, v in stemming.STEP_2_EXTENDED.items() if k != "alli"}
+    irregular = ", ".join(f"('{word}', '{stem}')" for word, stem in zip(IRREGULAR[::2], IRREGULAR[1::2]))
+    rules_2 = dict(zip(SECOND[::2], SECOND[1::2]))
     mended = (
         "CASE WHEN right(p, 2) IN ('at', 'bl', 'iz') THEN p || 'e' "
         "WHEN length(p) > 1 AND right(p, 1) = left(right(p, 2), 1) AND right(ps, 1) = 'c' "
@@ -169,8 +180,8 @@ def stems_cte(terms: str) -> str:
             ),
             _step("k2a", "k1c", f"WHEN ends_with(w, 'alli') AND {_measure(4)} > 0 THEN {_stem_of(2)}"),
             _step("k2", "k2a", "WHEN ends_with(w, 'alli') THEN w " + _suffixes(rules_2, 1, ("logi",))),
-            _step("k3", "k2", _suffixes(stemming.STEP_3, 1)),
-            _step("k4", "k3", _suffixes({suffix: "" for suffix in stemming.STEP_4}, 2)),
+            _step("k3", "k2", _suffixes(THIRD, 1)),
+            _step("k4", "k3", _suffixes({suffix: "" for suffix in FOURTH}, 2)),
             _step(
                 "k5a",
                 "k4",
@@ -221,6 +232,47 @@ def oracle() -> dict[str, str]:
         "valued AS (SELECT term, CASE WHEN df = (SELECT * FROM total) THEN 1 ELSE n + 1 END AS n_values "
         "FROM distinct_tf JOIN terms USING (term)) "
     )
+    mapped = (
+        f"{categories}, kinds AS (SELECT term, n_values FROM valued WHERE n_values BETWEEN 2 AND 4), seen AS (SELECT DISTINCT term, tf FROM cells) "
+        "SELECT term, 0 AS tf, 0 AS code FROM kinds UNION ALL SELECT term, tf, "
+        "(row_number() OVER (PARTITION BY term ORDER BY tf))::INT AS code FROM seen JOIN kinds USING (term)"
+    )
+    in_train = f"NOT {hashed}"
+    indexed = (
+        f"WITH {rated_cells}, train AS (SELECT * FROM cells WHERE {in_train}), "
+        f"total AS (SELECT count(*) AS n FROM {RATED} WHERE {in_train}), "
+        "terms AS (SELECT term, count(*) AS df, count(DISTINCT tf) AS n_tf, ln((any_value(n) + 1.0) / (count(*) + 1.0)) AS idf, any_value(n) AS n "
+        "FROM train, total GROUP BY term HAVING count(*) >= 5), "
+        "codes AS (SELECT term, tf, row_number() OVER (PARTITION BY term ORDER BY tf) AS code FROM (SELECT DISTINCT term, tf FROM train)) "
+        "SELECT doc_id, term, round(CASE WHEN df = n THEN 0 WHEN n_tf + 1 > 4 THEN tf * idf ELSE coalesce(code, n_tf + 1) END, 9)::DOUBLE AS value "
+        f"FROM (SELECT * FROM cells WHERE {hashed}) JOIN terms USING (term) LEFT JOIN codes USING (term, tf)"
+    )
+    dependence = (
+        f"WITH {rated_cells}, sizes AS (SELECT {LABEL} AS label, count(*) AS n_label FROM {RATED} GROUP BY ALL), "
+        "n AS (SELECT sum(n_label)::DOUBLE AS n FROM sizes), o AS (SELECT term, label, count(*) AS o FROM cells GROUP BY ALL), "
+        "s AS (SELECT term, sum(o)::BIGINT AS df, sum(o * o / n_label) AS parts FROM o JOIN sizes USING (label) GROUP BY term), "
+        "dependence AS (SELECT term, df, round(CASE WHEN df < n THEN n * n / (df * (n - df)) * (parts - df * (df / n)) ELSE 0 END, 9) AS chi_square FROM s, n)"
+    )
+    stump = (
+        f"WITH {words_cte(RATED, label=True)}, {stems_cte(distinct_terms)}, "
+        "cells AS (SELECT DISTINCT doc_id, label, stem AS term, count(*) OVER (PARTITION BY stem) AS uses FROM (SELECT doc_id, label, unnest(w) AS term FROM words) "
+        "JOIN stems USING (term)), "
+        f"rated AS (SELECT doc_id, {LABEL} AS label, {hashed} AS tested FROM {RATED}), "
+        "sizes AS (SELECT label, count(*) AS n FROM rated WHERE NOT tested GROUP BY label), "
+        "with_term AS (SELECT term, label, count(*) AS o FROM cells JOIN rated USING (doc_id, label) WHERE NOT tested GROUP BY ALL), "
+        "frequent AS (SELECT term, sum(o) AS df FROM with_term GROUP BY term HAVING sum(o) >= 10), "
+        "uses AS (SELECT stem AS term, count(*) AS uses FROM (SELECT doc_id, unnest(w) AS term FROM words) JOIN stems USING (term) "
+        "JOIN rated USING (doc_id) WHERE NOT tested GROUP BY ALL), "
+        "sides AS (SELECT term, label, present, CASE WHEN present THEN coalesce(o, 0) ELSE n - coalesce(o, 0) END AS c "
+        "FROM frequent CROSS JOIN sizes CROSS JOIN (VALUES (true), (false)) p(present) LEFT JOIN with_term USING (term, label)), "
+        "leaves AS (SELECT term, present, sum(c) AS m, 1 - sum(c * c) / (sum(c) * sum(c))::DOUBLE AS gini, max(c) / sum(c) AS share, "
+        "arg_min(label, (-c, label)) AS prediction FROM sides WHERE c > 0 GROUP BY ALL), "
+        "splits AS (SELECT term, sum(m * gini) AS impurity FROM leaves GROUP BY term HAVING count(*) = 2), "
+        "best AS (SELECT term FROM splits JOIN uses USING (term) ORDER BY round(impurity, 9), uses DESC, term LIMIT 1), "
+        "ends AS (SELECT doc_id, count(c.term) > 0 AS present FROM rated LEFT JOIN (SELECT doc_id, term FROM cells JOIN best USING (term)) c USING (doc_id) "
+        "WHERE tested GROUP BY doc_id) "
+        "SELECT doc_id, prediction::DOUBLE AS prediction, round(share, 9) AS share FROM ends JOIN leaves USING (present) JOIN best USING (term)"
+    )
     side = {
         "vote": "CASE WHEN doc_id % 3 = 0 THEN 'none' WHEN doc_id % 7 = 1 THEN doc_id || ' votes' ELSE doc_id::VARCHAR END",
         "asin": "CASE WHEN doc_id % 2 = 0 THEN lpad(doc_id::VARCHAR, 10, '0') ELSE 'B' || doc_id END",
@@ -318,7 +370,37 @@ def oracle() -> dict[str, str]:
             "round(1 - accuracy, 9) AS test_error, round(accuracy, 9) AS evaluator_accuracy FROM a"
         ),
         "collapse_first_values": (
-            "PIVOT (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang) ON lang USING any_value(n)"
+            "WITH sparse AS (SELECT count(*) AS n, NULL::BIGINT AS m, NULL AS l, NULL::BOOLEAN AS f, NULL::DOUBLE AS c FROM documents "
+            "UNION ALL SELECT NULL, max(n_chars), NULL, NULL, NULL FROM documents "
+            "UNION ALL SELECT NULL, NULL, max(lang), NULL, NULL FROM documents "
+            "UNION ALL SELECT NULL, NULL, NULL, bool_or(lang = 'fr'), NULL FROM documents "
+            "UNION ALL SELECT NULL, NULL, NULL, NULL, round(avg(n_chars), 9) FROM documents) "
+            "SELECT max(n) AS n_documents, max(m) AS longest, max(l) AS last_lang, bool_or(f) AS has_french, max(c) AS mean_chars FROM sparse"
+        ),
+        "feature_values": mapped,
+        "feature_values_ml": mapped,
+        "indexed_features": indexed,
+        "term_dependence": f"{dependence} SELECT * FROM dependence",
+        "terms_by_dependence": f"{dependence} SELECT * FROM dependence ORDER BY chi_square DESC, term LIMIT 300",
+        "tfidf_by_heat": tfidf,
+        "json_quarantine": (
+            "SELECT doc_id, text AS \"reviewText\", 1.5::DOUBLE AS overall, "
+            "(SELECT count(*) FROM documents WHERE doc_id % 7 = 0 OR doc_id % 11 = 0) AS n_bad "
+            "FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 0"
+        ),
+        "parquet_pruned_by_join": (
+            "WITH n AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang) SELECT doc_id, lang, length(text)::INT AS n_chars "
+            "FROM documents WHERE lang IN (SELECT lang FROM n WHERE n < (SELECT avg(n) FROM n))"
+        ),
+        "csv_published": "SELECT lang, count(*) AS n, max(n_chars) AS longest FROM documents GROUP BY lang",
+        "forest_stump": stump,
+        "learnt_rule": (
+            'SELECT 2::BIGINT AS "maxDepth", 1::BIGINT AS "numTrees", \'all\' AS "featureSubsetStrategy", '
+            f"count(*) FILTER ({hashed}) AS n_test, 1.0::DOUBLE AS accuracy, true AS two_terms FROM documents"
+        ),
+        "out_of_fold_scores": (
+            f"SELECT p::INT AS point, ({hex_number.format(first=9)} % 2)::INT AS fold, count(*) AS n_rows, true AS is_score, true AS is_mean "
+            f"FROM {RATED}, range(2) t(p) WHERE NOT {hashed} GROUP BY ALL"
         ),
     }
     return result

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorIndexer
+from pyspark.ml.feature import Binarizer, IndexToString, StringIndexer, VectorIndexer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from reviewgrove.functions import cleaning, fields
 from reviewgrove.functions.stemming import stem, stem_all
 from reviewgrove.operators import indexing, split
+from reviewgrove.operators.choice import best_terms, label_counts, term_chi_square
 from reviewgrove.operators.collapse import collapse_first
 from reviewgrove.operators.scores import accuracy, accuracy_evaluator
 from reviewgrove.operators.terms import (
-    BROADCAST_LIMIT,
     Vocabulary,
     distinct_words,
     each_word,
@@ -40,11 +44,18 @@ from reviewgrove.plans.features import (
     weight_stage,
     words_of,
 )
+from reviewgrove.plans.search import Ledger, fold_shares, out_of_fold
 from reviewgrove.registry.tables import RECORD_SCHEMA, documents, labels, overall, reviews, side_columns, side_values
 from reviewgrove.session import fresh_path, stage
 from reviewgrove.sources.records import records_to_frame
-from reviewgrove.sources.reviews import json_copy, read_reviews_parquet, write_partitioned
-from reviewgrove.sources.sinks import read_csv, write_csv
+from reviewgrove.sources.reviews import (
+    in_partitions_of,
+    json_copy,
+    read_reviews_checked,
+    read_reviews_parquet,
+    write_partitioned,
+)
+from reviewgrove.sources.sinks import publish_csv, read_csv, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -151,6 +162,43 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, rows.schema)
 
 
+@query
+def json_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good records out of JSON lines of which every seventh is cut off and every eleventh has a text for its rating."""
+    record = F.to_json(F.struct(ID, F.col("text").alias(TEXT), F.lit(1.5).alias("overall")))
+    line = (
+        F.when(F.col(ID) % 7 == 0, F.substring(record, F.lit(1), F.length(record) - 3))
+        .when(F.col(ID) % 11 == 0, F.replace(record, F.lit('"overall":1.5'), F.lit('"overall":"good"')))
+        .otherwise(record)
+    )
+    path = fresh_path(spark, "damaged")
+    documents(spark, sf_dir, "text").select(line.alias("value")).write.text(path)
+    scan = read_reviews_checked(spark, path, schema=RECORD_SCHEMA)
+    return scan.good.select(ID, TEXT, "overall", F.lit(scan.n_bad()).cast("long").alias("n_bad"))
+
+
+@query
+def parquet_pruned_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts in the languages that hold fewer documents than an even share: the join names the directories to scan."""
+    path = fresh_path(spark, "by-lang")
+    texts = documents(spark, sf_dir, "text", "lang")
+    write_partitioned(texts, path, "lang")
+    side = stage(texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    even = side.agg(F.avg("n")).scalar()
+    rare = in_partitions_of(read_reviews_parquet(spark, path), side.filter(F.col("n") < even), "lang")
+    return rare.select(ID, "lang", F.length("text").alias("n_chars"))
+
+
+@query
+def csv_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report that replaces another one as a whole, read back."""
+    rows = documents(spark, sf_dir, "lang", "n_chars").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.max("n_chars").alias("longest"))
+    path = fresh_path(spark, "report")
+    publish_csv(rows.limit(1), path)
+    publish_csv(rows, path)
+    return read_csv(spark, path, rows.schema)
+
+
 # Projections, filters, limits
 
 
@@ -330,15 +378,8 @@ def tfidf_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _weights(spark, sf_dir, stemmed=True)
 
 
-def _positions_of_terms(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """``indices, term`` of a fitted model; no larger than the model, which every executor holds anyway."""
-    terms = vocabulary_of(model)
-    table = spark.createDataFrame(list(enumerate(terms)), "indices int, term string")
-    return F.broadcast(table) if sum(map(len, terms)) <= BROADCAST_LIMIT else table
-
-
-def _long(spark: SparkSession, df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Vectors back to ``doc_id, term, tf, tfidf``."""
+def _long(df: DataFrame, positions: DataFrame) -> DataFrame:
+    """Vectors back to ``doc_id, term, tf, tfidf``; ``positions`` names the term of each index."""
     cells = df.select(
         ID,
         F.inline(
@@ -349,21 +390,22 @@ def _long(spark: SparkSession, df: DataFrame, model: PipelineModel) -> DataFrame
             )
         ),
     )
-    long = cells.join(_positions_of_terms(spark, model), "indices")
-    return rounded(long.select(ID, "term", F.col("tf").cast("int").alias("tf"), TFIDF), TFIDF)
+    return rounded(cells.join(positions, "indices").select(ID, "term", F.col("tf").cast("int").alias("tf"), TFIDF), TFIDF)
 
 
 @query
 def tfidf_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = stage(cleaned(spark, sf_dir), "texts")
     model = builtin_feature_stages(stem=False).fit(texts)
-    return _long(spark, model.transform(texts), model)
+    # Spark's own stage keeps its terms on the driver only.
+    positions = spark.createDataFrame(pd.DataFrame({"term": vocabulary_of(model)}).rename_axis("indices").reset_index())
+    return _long(model.transform(texts), positions)
 
 
 def _vector_weights(spark: SparkSession, sf_dir: str, stem: bool) -> DataFrame:
     rows = stage(words(spark, sf_dir, stemmed=stem), "words")
     model = TfIdf(inputCol=WORDS, outputCol=TFIDF).fit(rows)
-    return _long(spark, model.transform(rows), model)
+    return _long(model.transform(rows), model.positions)
 
 
 @query
@@ -381,7 +423,7 @@ def fitted_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All feature stages as one estimator, fitted and applied."""
     texts = stage(cleaned(spark, sf_dir), "texts")
     model = feature_stages().fit(texts)
-    return _long(spark, model.transform(texts), model)
+    return _long(model.transform(texts), model.stages[-1].positions)
 
 
 # Split and indexes
@@ -457,6 +499,63 @@ def feature_categories_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(found, "term string, is_categorical boolean")
 
 
+@query
+def feature_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The codes of all values of the categorical features with more than one."""
+    cells = labelled_counts(spark, sf_dir)
+    n_docs = n_labelled(spark, sf_dir)
+    frequent = fit_vocabulary(cells, n_docs).side("term")
+    return indexing.value_mapping(cells.join(frequent, "term", "left_semi"), n_docs).filter("n_values > 1").drop("n_values")
+
+
+@query
+def feature_values_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the maps of Spark's indexer, fitted on counts."""
+    rows = stage(labelled_words(spark, sf_dir), "words")
+    model = TfIdf(inputCol=WORDS, outputCol=TFIDF).fit(rows)
+    indexer = VectorIndexer(inputCol="term_freq", outputCol="indexed", maxCategories=indexing.MAX_CATEGORIES)
+    maps = indexer.fit(model.transform(rows)).categoryMaps
+    # Counts of a term of every text differ where its weights are all zero.
+    codes = [(i, int(value), code) for i, values in maps.items() if 0.0 in values for value, code in values.items()]
+    return spark.createDataFrame(codes, "indices int, tf int, code int").join(model.positions, "indices").select("term", "tf", "code")
+
+
+@query
+def indexed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of the test part, coded by what the training part has: codes of known and unseen values, weights of the others."""
+    cells = labelled_counts(spark, sf_dir).withColumn("part", split.part(F.col(ID)))
+    train, test = (cells.filter(F.col("part") == part).drop("part") for part in (split.TRAIN, split.TEST))
+    rated = documents(spark, sf_dir).join(labels(spark, sf_dir), ID, "left_semi")
+    n_train = rated.filter(split.part(F.col(ID)) == split.TRAIN).count()
+    known = fit_vocabulary(train, n_train, min_df=5)
+    mapping = stage(indexing.value_mapping(train.join(known.side("term"), "term", "left_semi"), n_train), "value-mapping")
+    return rounded(indexing.indexed_values(weigh(test, known), mapping), "value")
+
+
+def _chi_square(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = reviews(spark, sf_dir).select(fields.label(F.col("overall")).alias(LABEL))
+    return term_chi_square(labelled_counts(spark, sf_dir), label_counts(rated))
+
+
+@query
+def term_dependence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chi-square of every term against the label."""
+    return _chi_square(spark, sf_dir)
+
+
+@query
+def terms_by_dependence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 300 terms that depend most on the label."""
+    return best_terms(_chi_square(spark, sf_dir), 300)
+
+
+@query
+def tfidf_by_heat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights with the vocabulary split: the terms that fit 16 KiB by broadcast, all others by a shuffle."""
+    cells = counted(spark, sf_dir)
+    return rounded(weigh(cells, fit_vocabulary(cells, n_documents(spark, sf_dir)), limit=1 << 14), TFIDF)
+
+
 # Learning, tuning, report
 
 
@@ -464,7 +563,7 @@ def feature_categories_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = job.split_words(reviews(spark, sf_dir), folds=2)
     train, test = (rows.filter(F.col(job.PART) == part) for part in (split.TRAIN, split.TEST))
-    weights = job.bounded_features(weight_stage().fit(train))
+    weights = job.bounded_features(weight_stage().fit(train), train)
     model = tuning.forest(numTrees=5, maxDepth=5).fit(weights.transform(job.bounded_rows(train)))
     return _checked(stage(model.transform(weights.transform(test)).select(LABEL, "prediction"), "predictions"))
 
@@ -477,6 +576,55 @@ def _checked(predictions: DataFrame, label: str = LABEL) -> DataFrame:
     )
 
 
+@query
+def forest_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest of one tree with one split on the presence of terms: share of the most frequent label where each test row ends.
+
+    Which term splits best, and the shares on its two sides, follow from counts.
+    """
+    rows = job.split_words(reviews(spark, sf_dir), folds=2)
+    train, test = (rows.filter(F.col(job.PART) == part) for part in (split.TRAIN, split.TEST))
+    weights = weight_stage().fit(train)
+    present = Binarizer(inputCol="term_freq", outputCol="present", threshold=0.5)
+    model = tuning.forest(features="present", numTrees=1, maxDepth=1, bootstrap=False).fit(present.transform(weights.transform(train)))
+    scored = model.transform(present.transform(weights.transform(test)))
+    share = F.array_max(vector_to_array("probability"))
+    return rounded(scored.select(ID, "prediction", share.alias("share")), "share")
+
+
+@query
+def learnt_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job on a label that is a rule on two planted words: one split cannot tell it, two can, and two terms are enough."""
+    one, two = F.col(ID) % 3 > 0, F.col(ID) % 5 > 1
+    planted = F.concat_ws(" ", "text", F.when(one, "plantedone"), F.when(two, "plantedtwo"))
+    rows = documents(spark, sf_dir, "text").select(ID, planted.alias(TEXT), F.when(one & two, 2.0).otherwise(1.0).alias("overall"))
+    grid = tuning.Grid({"maxDepth": [1, 2], "numTrees": [1], "featureSubsetStrategy": ["all"]}, folds=2)
+    result = job.learn(rows, grid=grid, forest_features=2)
+    chosen = F.lit(result.n_left_out == result.n_terms - 2).alias("two_terms")
+    best = result.report.select("maxDepth", "numTrees", "featureSubsetStrategy").first()
+    values = [F.lit(value).alias(name) for name, value in best.asDict().items()]
+    return result.accuracy.select(*[v.cast("long") if n < 2 else v for n, v in enumerate(values)], "n_test", "accuracy", chosen)
+
+
+@query
+def out_of_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per point and fold: rows scored by the model that has not seen them, whether their hits are the fold's score, and
+    whether the mean over the folds is the score of the point."""
+    ledger = fresh_path(spark, "ledger")
+    result = _search(spark, sf_dir, ledger=ledger)
+    search = tuning.search_of(result.model)
+    kept, run = Ledger(spark, ledger), result.run
+    scored = stage(out_of_fold(result.train, kept, run, [0, 1], SMALL_GRID.folds, job.FOLD).select(LABEL, job.FOLD, "point", "prediction"), "scored")
+    shares = fold_shares(scored, LABEL, job.FOLD)
+    rows = kept.rows().filter(F.col("run") == run).select("point", "fold", "score")
+    means = spark.createDataFrame(list(enumerate(map(float, search.avgMetrics))), "point int, mean double")
+    mean = F.avg("score").over(Window.partitionBy("point"))
+    return shares.join(rows, ["point", "fold"]).join(means, "point").select(
+        "point", "fold", "n_rows", (F.abs(F.col("share") - F.col("score")) < 1e-9).alias("is_score"),
+        (F.abs(mean - F.col("mean")) < 1e-9).alias("is_mean"),
+    )
+
+
 @query
 def majority_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _labelled(spark, sf_dir)
@@ -543,7 +691,15 @@ def job_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def collapse_first_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = documents(spark, sf_dir, "lang").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    languages = [row["lang"] for row in counts.filter("lang IS NOT NULL").select("lang").orderBy("lang").collect()]
-    sparse = counts.select(*[F.when(F.col("lang") == lang, F.col("n")).alias(lang) for lang in languages])
-    return collapse_first(sparse)
+    """Named parameters, one row each and null elsewhere, as one row."""
+    texts = documents(spark, sf_dir, "lang", "n_chars")
+    names = {
+        "n_documents": F.count(F.lit(1)),
+        "longest": F.max("n_chars"),
+        "last_lang": F.max("lang"),
+        "has_french": F.bool_or(F.col("lang") == "fr"),
+        "mean_chars": F.round(F.avg("n_chars"), DIGITS),
+    }
+    single = [texts.agg(value.alias(name)) for name, value in names.items()]
+    sparse = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), single)
+    return collapse_first(sparse.select(*names))

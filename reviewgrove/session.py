@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark import StorageLevel
@@ -48,9 +49,58 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+class Staged:
+    """Folders that a piece of work has written to the shared folder, and that it deletes when nobody reads them any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def close(self) -> None:
+        """Delete the folders. Frames that read them cannot be computed afterwards."""
+        while self.paths:
+            delete_path(self.spark, self.paths[-1])
+            self.paths.pop()
+
+
+_OWNER: ContextVar[Staged | None] = ContextVar("owner of staged tables", default=None)
+
+
+@contextmanager
+def owning(spark: SparkSession) -> Iterator[Staged]:
+    """Within it, every path from ``fresh_path``, so every staged table, belongs to the ``Staged`` it gives.
+
+    The owner outlives the block, since results are lazy; whoever takes the result closes it. If the block
+    fails, its folders are deleted at once.
+    """
+    owner = Staged(spark)
+    token = _OWNER.set(owner)
+    try:
+        yield owner
+    except BaseException:
+        owner.close()
+        raise
+    finally:
+        _OWNER.reset(token)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path as it knows it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    system, place = file_system(spark, path)
+    system.delete(place, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/reviewgrove/{name}-{uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/reviewgrove/{name}-{uuid4().hex}"
+    if (owner := _OWNER.get()) is not None:
+        owner.paths.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewgrove.session import fresh_path
+from reviewgrove.session import fresh_path, stage
 
 REVIEW_SCHEMA = T.StructType(
     [
@@ -27,6 +28,7 @@ REVIEW_SCHEMA = T.StructType(
     ]
 )
 
+_CORRUPT = "_corrupt_record"
 
 # What tells one review from another.
 ID_FIELDS = ("reviewerID", "asin", "unixReviewTime", "overall", "reviewText")
@@ -50,6 +52,41 @@ def read_reviews_json(
     return spark.read.schema(schema).json(path)
 
 
+@dataclass(frozen=True)
+class ReviewScan:
+    """``good`` records under the schema, and ``bad`` lines with the file they are from, in a written side table."""
+
+    good: DataFrame
+    bad: DataFrame
+
+    def n_bad(self) -> int:
+        return self.bad.count()
+
+
+def read_reviews_checked(
+    spark: SparkSession, path: str, bad_path: str | None = None, schema: T.StructType = REVIEW_SCHEMA
+) -> ReviewScan:
+    """Scan JSON lines and put aside those that are no record of ``schema``: broken JSON, or a value of another type.
+
+    The plain reader turns such lines into nulls and tells nobody. Every line is parsed once; the parsed records
+    are written in two folders, of which the bad ones are ``file, line`` at ``bad_path`` (default: the shared folder).
+    Blank lines are no records and not bad. A field that the line lacks is null, as in the plain reader.
+    """
+    wider = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    parsed = lines.filter(F.trim("value") != "").select("file", F.from_json("value", wider, options).alias("record"), "value")
+    # JSON that is no object gives a null record.
+    is_bad = F.col("record").isNull() | F.col("record").getField(_CORRUPT).isNotNull()
+    split = stage(parsed.withColumn("is_bad", is_bad), "json-lines", partition_by=["is_bad"])
+    bad = split.filter("is_bad").select("file", F.col("value").alias("line"))
+    if bad_path is not None:
+        bad.write.mode("overwrite").parquet(bad_path)
+        bad = spark.read.schema(bad.schema).parquet(bad_path)
+    good = split.filter("NOT is_bad").select(*[F.col("record").getField(name).alias(name) for name in schema.names])
+    return ReviewScan(good, bad)
+
+
 def read_reviews(
     spark: SparkSession, path: str, input_format: str = "json", base_path: str | None = None, infer: bool = False
 ) -> DataFrame:
@@ -84,6 +121,15 @@ def read_reviews_parquet(
     return reader.parquet(path)
 
 
+def in_partitions_of(df: DataFrame, side: DataFrame, column: str) -> DataFrame:
+    """Rows of a partitioned scan whose partition ``column`` is in the small table ``side``.
+
+    Spark reads ``side`` first and scans only the directories that its values name, so a filter on
+    another column of ``side`` prunes files. Without a hint: Spark broadcasts ``side`` if its size allows it, and prunes only then.
+    """
+    return df.join(side.select(column), column, "left_semi")
+
+
 def write_partitioned(df: DataFrame, path: str, *columns: str) -> None:
     """Write Parquet directories per value of ``columns``.
 
@@ -93,8 +139,8 @@ def write_partitioned(df: DataFrame, path: str, *columns: str) -> None:
     df.write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give text work two tasks per core, since long texts make uneven tasks.
+def spread(df: DataFrame, key: str | None) -> DataFrame:
+    """Give text work two tasks per core, since long texts make uneven tasks. Rows are dealt by ``key``, or in turn without one.
 
     Only an input with fewer splits than cores is shuffled, for instance one small file. A large input
     has many splits already and passes through unchanged.
@@ -102,7 +148,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(2 * cores, key)
+    return df.repartition(2 * cores, *([] if key is None else [key]))
 
 
 def with_review_id(df: DataFrame, name: str = "doc_id") -> DataFrame:

@@ -110,10 +110,12 @@ def test_bounds_of_the_forest(spark):
     rows = spark.range(4000).select(F.col("id").alias(job.ID))
     assert 300 < job.bounded_rows(rows, 400).count() < 500
     assert job.bounded_rows(rows, 4000).count() == 4000
-    words = spark.createDataFrame([(i, [f"w{k}" for k in range(i % 5 + 1)]) for i in range(60)], "doc_id long, words_stemmed array<string>")
+    rows = [(i, int(i % 5 > 2), [f"w{k}" for k in range(i % 5 + 1)]) for i in range(60)]
+    words = spark.createDataFrame(rows, "doc_id long, label int, words_stemmed array<string>")
     model = weight_stage(min_df=1).fit(words)
-    small = job.bounded_features(model, 2).transform(words)
-    assert job.bounded_features(model, 5) is model
+    small = job.bounded_features(model, words, 2).transform(words)
+    assert job.bounded_features(model, words, 5) is model
     full = {r.doc_id: r.tfidf for r in model.transform(words).collect()}
+    # w3 is the label itself, w2 comes closest to it.
     for r in small.collect():
-        assert list(r.tfidf.toArray()) == list(full[r.doc_id].toArray()[:2])
+        assert list(r.tfidf.toArray()) == list(full[r.doc_id].toArray()[2:4])
