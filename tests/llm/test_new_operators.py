@@ -269,3 +269,50 @@ def test_mix_without_words(spark):
 def test_mix_is_native(spark, sf_dir):
     plan = mixing.mixture(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+# Token ids with a small table
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_with_a_table_that_overflows(monkeypatch, name):
+    from tokenizers import Tokenizer
+
+    from reviewgrove.llm import tokens
+    from reviewgrove.llm.queries import tokenizer
+
+    monkeypatch.setattr(tokens, "TABLE_BYTES", 3000)
+    monkeypatch.setattr(tokens, "PIECES_BYTES", 2000)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 500)
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdeéß,.") for _ in range(rng.randint(1, 9))) for _ in range(300)] + ["q" * 300, "漢字" * 200, "9" * 400]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 60))) + rng.choice(["", " ", "\n"]) for _ in range(150)]
+    texts += [rng.choice("  a") + "b" * 20000, " ".join(words), None]
+    library = Tokenizer.from_file(tokenizer(name))
+    coder = tokens.Encoder(tokenizer(name))
+    monkeypatch.setitem(tokens.process_store(), ("encoder", tokenizer(name)), coder)
+    at = 0
+    for first, last, ids, counts in tokens.encoded(pa.array(texts), tokenizer(name), 1):
+        expected = [library.encode(t or "", add_special_tokens=False).ids + [1] for t in texts[first:last]]
+        assert first == at and counts.tolist() == list(map(len, expected)) and ids.tolist() == [i for own in expected for i in own]
+        at = last
+    assert at == len(texts) and coder.known.nbytes() < 12000 and coder.pieces_bytes <= 2000
+
+
+def test_known_ids_make_room():
+    import numpy as np
+
+    from reviewgrove.llm import tokens
+
+    known = tokens.Known(400)
+    rng = random.Random(3)
+    for _ in range(60):
+        keys = np.array(sorted(rng.sample(range(200), 8)), np.uint64)
+        at = known.find(keys)
+        for key, place in zip(keys.tolist(), at.tolist()):
+            if place >= 0:
+                start, size = known.starts[place], known.sizes[place]
+                assert known.ids[start : start + size].tolist() == [key] * (key % 4)
+        new = keys[at < 0]
+        known.add(new, [np.full(int(k) % 4, k, np.uint32).tobytes() for k in new])
+        assert known.nbytes() <= 800 and (np.diff(known.keys.astype(np.int64)) > 0).all()
