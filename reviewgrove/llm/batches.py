@@ -10,9 +10,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 ROW = "row"
 # Bytes of text that one step of array work looks at. Bounds the memory of a task, not the texts.
@@ -58,6 +59,38 @@ def alongside(
     return out.select(*[F.col(ROW).getField(name).alias(name) for name in carried], *[f.name for f in outputs])
 
 
+def beside(
+    df: DataFrame,
+    text: str | Column,
+    outputs: Sequence[T.StructField],
+    start: Callable[[], Callable[[pa.Array], Sequence[pa.Array]]],
+    carry: Sequence[str] | None = None,
+) -> DataFrame:
+    """The same as ``alongside``, but only the texts go to the workers and only the outputs come back.
+
+    Spark keeps the other columns of the rows on its own side meanwhile and spills them if they are many. Right for rows that
+    carry their text on; ``text`` may then be a field of what is carried.
+    """
+    schema = T.StructType(list(outputs))
+    carried = [name for name in (df.columns if carry is None else carry) if name not in set(schema.names)]
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        work = start()
+        for texts in batches:
+            texts = pc.fill_null(texts, "")
+            parts = [
+                pa.StructArray.from_arrays(list(work(texts.slice(first, last - first))), names=schema.names)
+                for first, last in slices(texts)
+            ]
+            yield pa.concat_arrays(parts) if parts else pa.array([], to_arrow_type(schema))
+
+    text = F.col(f"`{text}`") if isinstance(text, str) else text
+    # Not to be pushed down or taken twice.
+    found = F.arrow_udf(run, schema).asNondeterministic()
+    rows = df.select(*[F.col(f"`{name}`") for name in carried], found(text.cast("string")).alias("_found"))
+    return rows.select(*[F.col(f"`{name}`") for name in carried], *[F.col("_found").getField(name).alias(name) for name in schema.names])
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``limit`` bytes; a longer text is a range of its own."""
     if not len(texts):

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewgrove.llm.batches import PLAIN, alongside, utf8, window_hashes, words
+from reviewgrove.llm.batches import PLAIN, beside, utf8, window_hashes, words
 from reviewgrove.session import stage
 
 WINDOW = 13
@@ -124,7 +124,7 @@ def scan(texts: pa.Array, block: Block) -> list[pa.Array]:
 
 
 def find_passages(
-    df: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, carry: Sequence[str] | None = None
+    df: DataFrame, items: DataFrame, text: str | Column = "text", window: int = WINDOW, carry: Sequence[str] | None = None
 ) -> DataFrame:
     """``df`` with ``n_words``, the ``spans`` and ``byte_spans`` of test passages and the ``items`` they are from.
 
@@ -157,14 +157,14 @@ def find_passages(
     return rows.select("_row", *kept).join(joined, "_row").select(*kept, *names)
 
 
-def _one_pass(df: DataFrame, windows: pa.Table, text: str, carry: Sequence[str] | None) -> DataFrame:
+def _one_pass(df: DataFrame, windows: pa.Table, text: str | Column, carry: Sequence[str] | None) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(block_of(windows))
 
     def start():
         block = shared.value
         return lambda texts: scan(texts, block)
 
-    return alongside(df, text, OUTPUTS, start, carry)
+    return beside(df, text, OUTPUTS, start, carry)
 
 
 def _union(name: str) -> Column:
@@ -194,8 +194,8 @@ def contaminated(share: int = 20) -> Column:
 
 def drop_documents(df: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``df`` that are not contaminated, with their own columns."""
-    plain = df.select(F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("_kept"), F.col(text).alias("text"))
-    judged = find_passages(plain, items, carry=["_kept"])
+    plain = df.select(F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("_kept"))
+    judged = find_passages(plain, items, F.col("_kept").getField(text), carry=["_kept"])
     return judged.filter(~contaminated()).select("_kept.*")
 
 
