@@ -2,20 +2,22 @@
 
 1. Every text becomes the set of hashes of its word shingles, and texts with equal sets become one class.
 2. A class gets a signature of min-hashes, cut into trees. In every tree the classes that share the first values are a
-   region. A region of up to REGION classes is looked at whole, in one task. Classes of a crowded one are sorted by the
-   values of the tree and then by the rest of the signature, and taken in cuts, the last classes of a cut again in the next.
-3. Within a cut the signatures give similarity estimates; classes that may be similar are chained. Chains over all
-   trees are families. Any two classes of a crowded region that are in different families after that and whose sizes fit
-   meet in a block of two pieces of the region. So a region is never deepened at the expense of its pairs: whatever shares
-   the least depth in one tree is compared.
+   region, which is looked at whole, in one task, up to REGION classes. A crowded region is deepened value by value: its classes
+   split into the regions of one value more, and only those that are still crowded go on. Besides, the classes of crowded regions are
+   sorted by the values of the tree and then by the rest of the signature, so that the longest common prefixes are
+   neighbours, and every class is compared with its neighbours on both sides.
+3. Within a region or a run of neighbours the signatures give similarity estimates; classes that may be similar are chained. Chains
+   over all trees are families. A deeper region takes pairs apart, so any two classes of a crowded region that are in different families after
+   that and whose sizes fit meet in a block of two pieces of the region: no pair that shares the least depth in one tree is lost.
+   Without crowded regions none of this is run.
 4. The full sets of a family come together and every pair that may reach the threshold is confirmed on them, unless it is
-   linked already. Families beyond the limit are cut into blocks along several signature orders first; every block also
-   gets the most central classes of the family. Any two classes of such a family that this leaves in different groups and
+   linked already. Families beyond the limits of a task, in classes or in bytes, are cut into blocks along several signature orders first; every block
+   also gets the most central classes of the family. Any two classes of such a family that this leaves in different groups and
    whose sizes fit then meet in a block of two pieces of the family, so no pair is left out.
 5. Components of confirmed links, and of the documents in each class, are the groups.
 
 Defined cases: a text without words (null, empty) has an empty set and is linked with nothing; a shorter text is
-one shingle; repeated rows are exact copies; rows without a document number link with nothing and are kept; an empty
+one shingle; repeated rows are exact copies; a number that comes with several texts is in the group of each; rows without a document number link with nothing and are kept; an empty
 table gives an empty result. Other columns are not looked at; the stage carries them.
 """
 
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +47,9 @@ LEVELS = 6
 LEAST_DEPTH = 3
 REGION = 1024
 OVERLAP = 16
+# What one task confirms at a time: so many classes, and so many shingles of 8 bytes in their sets.
 BLOCK = 2048
+BLOCK_SHINGLES = 1 << 22
 HUBS = 32
 ORDERS = 3
 # Estimates below the threshold by this much are still confirmed on the sets: four standard errors.
@@ -83,13 +88,19 @@ def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return np.minimum.reduce(parts)
 
 
+def set_id(shingles: np.ndarray, factors: np.ndarray) -> bytes:
+    """Tells sets apart: two sums over their hashes, and their size."""
+    total = np.array([mixed(shingles).sum(), (shingles * factors[0]).sum()], np.uint64)
+    return total.tobytes() + len(shingles).to_bytes(4, "little")
+
+
 def describe(df: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, set_id, keys, sketch`` per document; keys hash the least prefix of each tree."""
+    """``doc_id, text_hash, n_shingles, set_id, keys, sketch`` per document; keys hash the least prefix of each tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = multipliers()
         for batch in batches:
-            texts = pc.fill_null(batch.column(1), "")
+            texts = pc.fill_null(batch.column(2), "")
             for first, last in slices(texts):
                 sizes, ids, keys, sketches = [], [], [], []
                 for shingles in shingle_sets(texts.slice(first, last - first), size):
@@ -99,8 +110,7 @@ def describe(df: DataFrame, size: int) -> DataFrame:
                         keys.append([])
                         sketches.append(None)
                         continue
-                    total = np.array([mixed(shingles).sum(), (shingles * factors[0]).sum()], np.uint64)
-                    ids.append(total.tobytes() + len(shingles).to_bytes(4, "little"))
+                    ids.append(set_id(shingles, factors))
                     values = signature(shingles, factors)
                     prefixes = mixed(values).reshape(TREES, LEVELS)[:, :LEAST_DEPTH]
                     keys.append(window_keys(prefixes))
@@ -108,16 +118,18 @@ def describe(df: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
+                        batch.column(1).slice(first, last - first),
                         pa.array(sizes, pa.int64()),
                         pa.array(ids, pa.binary()),
                         pa.array(keys, pa.list_(pa.int64())),
                         pa.array(sketches, pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "set_id", "keys", "sketch"],
+                    names=["doc_id", "text_hash", "n_shingles", "set_id", "keys", "sketch"],
                 )
 
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, keys array<long>, sketch binary")
+    text = F.col("text").cast("string")
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_id binary, keys array<long>, sketch binary")
 
 
 def window_keys(prefixes: np.ndarray) -> np.ndarray:
@@ -182,21 +194,44 @@ def regions_of(classes: DataFrame) -> DataFrame:
     return each.join(shared, "key")
 
 
-def region_edges(regions: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Edges ``a, b`` between classes that may be similar, from all trees: all that small regions have, and those between
-    neighbours in crowded ones."""
+def deepened(crowded: DataFrame) -> DataFrame:
+    """``key, rep, sketch`` of the regions that crowded ones split into, each as deep as it has to be to hold up to REGION classes.
+
+    ``crowded`` are rows ``key, rep, tree, sketch``. Level by level the next value of the tree joins the key, and only regions that are still too
+    large go on to the next level. What is too large with all values of the tree is left to the sorted order.
+    """
+    rows, leaves = crowded.select("key", "rep", "tree", "sketch"), []
+    for depth in range(LEAST_DEPTH, LEVELS):
+        deeper = F.xxhash64("key", F.substring("sketch", F.col("tree") * LEVELS + depth + 1, F.lit(1)))
+        rows = rows.withColumn("key", deeper)
+        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        rows = stage(rows.join(sizes, "key"), "deeper-regions")
+        leaves.append(rows.filter(F.col("n") <= REGION).select("key", "rep", "sketch"))
+        rows = rows.filter(F.col("n") > REGION).drop("n")
+        if not rows.limit(1).count():
+            break
+    return reduce(DataFrame.unionByName, leaves)
+
+
+def region_edges(regions: DataFrame, classes: DataFrame, percent: int, is_crowded: bool) -> DataFrame:
+    """Edges ``a, b`` between classes that may be similar, from all trees: all that small regions have; of crowded ones those
+    within the deeper regions that they split into, and those between neighbours in the sorted order, where common prefixes are longest."""
     rows = regions.join(classes.select("rep", "sketch"), "rep")
-    small = rows.filter(F.col("n") <= REGION).repartition("key").sortWithinPartitions("key", "rep")
+    least = percent / 100 - SLACK
+
+    def chained(part: DataFrame) -> DataFrame:
+        return part.select("key", "rep", "sketch").mapInArrow(lambda batches: chains(batches, least), "a long, b long")
+
+    small = rows.filter(F.col("n") <= REGION).select("key", "rep", "sketch")
+    if not is_crowded:
+        return chained(small.repartition("key").sortWithinPartitions("key", "rep"))
+    crowded = stage(rows.filter(F.col("n") > REGION), "crowded-regions")
+    whole = small.unionByName(deepened(crowded)).repartition("key").sortWithinPartitions("key", "rep")
     # Sorted by the rest of the tree's own values first, then by all others.
     rest = F.substring("sketch", F.col("tree") * LEVELS + 1 + LEAST_DEPTH, F.lit(HASHES))
-    crowded = rows.filter(F.col("n") > REGION).withColumn("_order", F.concat(rest, "sketch"))
-    crowded = crowded.repartitionByRange("key", "_order", "rep").sortWithinPartitions("key", "_order", "rep")
-    least = percent / 100 - SLACK
-    found = [
-        part.select("key", "rep", "sketch").mapInArrow(lambda batches: chains(batches, least), "a long, b long")
-        for part in (small, crowded)
-    ]
-    return found[0].unionByName(found[1])
+    ordered = crowded.withColumn("_order", F.concat(rest, "sketch"))
+    ordered = ordered.repartitionByRange("key", "_order", "rep").sortWithinPartitions("key", "_order", "rep")
+    return chained(whole).unionByName(chained(ordered))
 
 
 def crowded_edges(regions: DataFrame, families: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -215,38 +250,45 @@ def crowded_edges(regions: DataFrame, families: DataFrame, classes: DataFrame, p
     return meetings(rows, BLOCK, percent).groupBy("block").applyInArrow(links, "a long, b long")
 
 
-def blocks_of(families: DataFrame, classes: DataFrame) -> DataFrame:
+def load(limit: int) -> Column:
+    """How many blocks of at most ``limit`` classes and BLOCK_SHINGLES shingles a group of classes fills."""
+    return F.greatest(F.count(F.lit(1)) / limit, F.sum("n_shingles") / BLOCK_SHINGLES)
+
+
+def blocks_of(families: DataFrame, classes: DataFrame) -> tuple[DataFrame, bool]:
     """``rep, sketch, block``: a family is one block up to BLOCK classes; larger ones are cut along several orders.
 
     The place of a class in an order comes from the hash range of its signature values, so no family is sorted
     or counted in one task. Every block of a large family also gets the HUBS classes of the family whose leading
     signature values are the most common ones. What no block holds together is left to ``meetings``. A class is its own
-    ``group``, and on side 0 it meets all classes of its block.
+    ``group``, and on side 0 it meets all classes of its block. The second value says whether there is a large family.
     """
-    sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    rows = families.withColumnRenamed("node", "rep").join(sizes, "component").join(classes.select("rep", "sketch"), "rep")
-    rows = stage(rows, "families")
-    small = rows.filter(F.col("n") <= BLOCK).select("rep", "sketch", F.col("component").alias("block"))
-    large = rows.filter(F.col("n") > BLOCK)
-    n_blocks = F.ceil(F.col("n") * 2 / BLOCK).cast("int")
+    rows = families.withColumnRenamed("node", "rep").join(classes.select("rep", "sketch", "n_shingles"), "rep")
+    rows = stage(rows.join(rows.groupBy("component").agg(load(BLOCK).alias("load")), "component"), "families")
+    small = rows.filter("load <= 1").select("rep", "sketch", F.col("component").alias("block"))
+    large = rows.filter("load > 1")
+    alone = {"group": F.col("rep"), "side": F.lit(0)}
+    if not large.limit(1).count():
+        return small.withColumns(alone), False
+    n_blocks = F.ceil(F.col("load") * 2).cast("int")
     orders = []
     for order in range(ORDERS):
         part = F.substring("sketch", order * LEVELS + 1, LEVELS)
         number = F.pmod(F.xxhash64(F.substring(part, 1, 2)), n_blocks)
-        orders.append(large.select("component", "n", "rep", "sketch", F.lit(order).alias("order"), number.alias("number")))
+        orders.append(large.select("component", "rep", "sketch", "n_shingles", F.lit(order).alias("order"), number.alias("number")))
     placed = orders[0]
     for other in orders[1:]:
         placed = placed.unionByName(other)
     # A value of the signature that most of a family shares could still fill a block: spread over the rest of it.
-    counts = placed.groupBy("component", "order", "number").agg(F.count(F.lit(1)).alias("size"))
+    counts = placed.groupBy("component", "order", "number").agg(load(BLOCK).alias("size"))
     placed = placed.join(counts, ["component", "order", "number"])
-    extra = F.pmod(F.xxhash64("sketch"), F.ceil(F.col("size") / BLOCK).cast("int"))
+    extra = F.pmod(F.xxhash64("sketch"), F.ceil("size").cast("int"))
     block = F.xxhash64("component", "order", "number", extra)
     placed = placed.select("component", "rep", "sketch", block.alias("block"))
     hubs = _hubs(large)
     meeting = placed.select("component", "block").distinct().join(hubs, "component")
     blocks = small.unionByName(placed.select("rep", "sketch", "block")).unionByName(meeting.select("rep", "sketch", "block"))
-    return blocks.distinct().withColumns({"group": F.col("rep"), "side": F.lit(0)})
+    return blocks.distinct().withColumns(alone), True
 
 
 def band(percent: int) -> Column:
@@ -268,7 +310,7 @@ def meetings(rows: DataFrame, limit: int, percent: int) -> DataFrame:
     split = rows.join(top.filter("groups > 1").select("unit", "top"), "unit")
     split = stage(split.withColumns({"inner": F.col("group") == F.col("top"), "band": band(percent)}).drop("top"), "to-meet")
     place = ["unit", "band", "inner"]
-    pieces = split.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) * 2 / limit).cast("int").alias("pieces"))
+    pieces = split.groupBy(*place).agg(F.ceil(load(limit) * 2).cast("int").alias("pieces"))
     placed = split.join(pieces, place).withColumn("piece", F.pmod(F.xxhash64("rep"), F.col("pieces")).cast("int"))
     each = pieces.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
     one = each.select("unit", *[F.col(name).alias(f"{name}_1") for name in ("band", "inner", "piece")])
@@ -291,7 +333,8 @@ def meetings(rows: DataFrame, limit: int, percent: int) -> DataFrame:
 
 def remaining_blocks(families: DataFrame, groups: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Blocks for the classes of large families that are not in one group yet."""
-    large = families.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK).select("component")
+    sized = families.withColumnRenamed("node", "rep").join(classes.select("rep", "n_shingles"), "rep")
+    large = sized.groupBy("component").agg(load(BLOCK).alias("load")).filter("load > 1").select("component")
     rows = families.join(large, "component").select(F.col("component").alias("unit"), F.col("node").alias("rep"))
     known = groups.select(F.col("node").alias("rep"), F.col("component").alias("group"))
     rows = rows.join(known, "rep", "left").withColumn("group", F.coalesce("group", "rep"))
@@ -301,22 +344,24 @@ def remaining_blocks(families: DataFrame, groups: DataFrame, classes: DataFrame,
 
 def _hubs(large: DataFrame) -> DataFrame:
     """The classes of each family that share most of the commonest leading values, a fixed number of them."""
-    values = large.select("component", "rep", *[F.substring("sketch", t * LEVELS + 1, 1).alias(f"v{t}") for t in range(TREES)])
-    score = F.lit(0)
-    scored = values
-    for tree in range(TREES):
-        common = values.groupBy("component", f"v{tree}").agg(F.count(F.lit(1)).alias("k"))
-        top = common.groupBy("component").agg(F.max_by(f"v{tree}", F.struct("k", f"v{tree}")).alias(f"top{tree}"))
-        scored = scored.join(top, "component")
-        score = score + (F.col(f"v{tree}") == F.col(f"top{tree}")).cast("int")
-    scored = scored.select("component", "rep", score.alias("score"))
+    firsts = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.substring("sketch", t * LEVELS + 1, F.lit(1)))
+    values = large.select("component", "rep", F.posexplode(firsts).alias("tree", "v"))
+    common = values.groupBy("component", "tree", "v").agg(F.count(F.lit(1)).alias("k"))
+    top = common.groupBy("component", "tree").agg(F.max_by("v", F.struct("k", "v")).alias("top"))
+    # One row per family with its commonest values by tree: TREES of them.
+    tops = top.groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("tree", "top"))).alias("tops"))
+    shared = F.aggregate(
+        F.sequence(F.lit(0), F.lit(TREES - 1)), F.lit(0),
+        lambda n, t: n + (F.get(F.col("firsts"), t) == F.try_element_at("tops", t)).cast("int"),
+    )
+    scored = large.select("component", "rep", "sketch", firsts.alias("firsts")).join(tops, "component")
+    scored = scored.select("component", "rep", "sketch", shared.alias("score"))
     # Each task keeps its own best first, so the ranking sees a bounded number of rows per task.
     own = Window.partitionBy("component", "_task").orderBy(F.desc("score"), "rep")
     best = scored.withColumn("_task", F.pmod(F.xxhash64("rep"), F.lit(256)))
     best = best.withColumn("_n", F.row_number().over(own)).filter(F.col("_n") <= HUBS)
     ranked = best.withColumn("_n", F.row_number().over(Window.partitionBy("component").orderBy(F.desc("score"), "rep")))
-    chosen = ranked.filter(F.col("_n") <= HUBS).select("component", "rep")
-    return chosen.join(large.select("rep", "sketch"), "rep")
+    return ranked.filter(F.col("_n") <= HUBS).select("component", "rep", "sketch")
 
 
 def linked(
@@ -386,28 +431,29 @@ def confirm(rows: list[tuple[int, bytes, int, int, bytes]], percent: int) -> lis
     return linked([(*row[:4], len(own)) for row, own in zip(rows, arrays)], percent, is_link)
 
 
-def confirmed_links(df: DataFrame, blocks: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links of all blocks. Only the sets of classes in blocks are made, each once, and each goes to its blocks."""
-    bytes_held = blocks.agg(F.count(F.lit(1))).first()[0] * (HASHES + 64)
-    places = blocks.groupBy("rep").agg(
-        F.first("sketch").alias("sketch"), F.first("group").alias("group"), F.collect_list(F.struct("block", "side")).alias("places")
-    )
-    places = F.broadcast(places) if bytes_held <= BROADCAST_BYTES else places
-    texts = df.select(F.col("doc_id").cast("long").alias("rep"), "text").join(places, "rep")
+def confirmed_links(df: DataFrame, blocks: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links of all blocks. Only the sets of classes in blocks are made, each once, and each goes to its blocks.
+
+    A class is found by the number and the hash of one of its texts. Only these few numbers meet the texts; the places of a class, of which a
+    central one has very many, are joined to its set afterwards.
+    """
+    wanted = stage(classes.join(blocks.select("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "text_hash"), "wanted")
+    # Three numbers and a row header.
+    small = 48 * wanted.count() <= BROADCAST_BYTES
+    text = F.col("text").cast("string")
+    texts = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    texts = texts.join(F.broadcast(wanted) if small else wanted, ["doc_id", "text_hash"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pc.fill_null(batch.column(4), "")
+            texts = pc.fill_null(batch.column(1), "")
             for first, last in slices(texts):
                 found = shingle_sets(texts.slice(first, last - first), size)
                 shingles = pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())
-                kept = [batch.column(i).slice(first, last - first) for i in range(4)]
-                yield pa.RecordBatch.from_arrays([*kept, shingles], names=["rep", "sketch", "group", "places", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), shingles], names=["rep", "shingles"])
 
-    rows = texts.select("rep", "sketch", "group", "places", "text").mapInArrow(
-        sets, "rep long, sketch binary, group long, places array<struct<block:long,side:int>>, shingles binary"
-    )
-    rows = rows.withColumn("place", F.explode("places")).select("rep", "sketch", "group", "place.*", "shingles")
+    made = texts.select("rep", "text").mapInArrow(sets, "rep long, shingles binary")
+    rows = blocks.join(made, "rep").select("rep", "sketch", "group", "block", "side", "shingles")
 
     def links(table: pa.Table) -> pa.Table:
         columns = (table.column(n).to_pylist() for n in ("rep", "sketch", "group", "side", "shingles"))
@@ -419,34 +465,42 @@ def confirmed_links(df: DataFrame, blocks: DataFrame, size: int, percent: int) -
     return rows.groupBy("block").applyInArrow(links, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` per row of ``doc_id, text``."""
+def grouped(df: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id`` per row of ``doc_id, text``; written."""
     described = stage(describe(df, size), "described")
     known = described.filter("doc_id IS NOT NULL AND set_id IS NOT NULL")
-    classes = stage(
-        known.groupBy("set_id").agg(
-            F.min("doc_id").alias("rep"), *[F.first(name).alias(name) for name in ("n_shingles", "keys", "sketch")]
-        ),
-        "classes",
-    )
+    one = F.min_by(F.struct("doc_id", "text_hash", "n_shingles", "keys", "sketch"), F.struct("doc_id", "text_hash")).alias("one")
+    # A class has a number of its own, since one document number may come with several texts.
+    classes = stage(known.groupBy("set_id").agg(one).select("set_id", F.xxhash64("set_id").alias("rep"), "one.*"), "classes")
     regions = stage(regions_of(classes), "regions")
-    families = components(stage(region_edges(regions, classes, percent), "may-be-similar"))
-    more = stage(crowded_edges(regions, families, classes, percent), "may-be-similar")
-    if more.limit(1).count():
-        known = families.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        families = components(known.unionByName(more))
-    blocks = stage(blocks_of(families, classes), "blocks")
-    groups = components(confirmed_links(df, blocks, size, percent))
-    rest = stage(remaining_blocks(families, groups, classes, percent), "remaining-blocks")
-    if rest.limit(1).count():
-        known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        groups = components(known.unionByName(confirmed_links(df, rest, size, percent)))
+    is_crowded = bool(regions.filter(F.col("n") > REGION).limit(1).count())
+    families = components(stage(region_edges(regions, classes, percent, is_crowded), "may-be-similar"))
+    if is_crowded:
+        more = stage(crowded_edges(regions, families, classes, percent), "may-be-similar")
+        if more.limit(1).count():
+            known = families.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            families = components(known.unionByName(more))
+    blocks, has_large = blocks_of(families, classes)
+    groups = components(confirmed_links(df, stage(blocks, "blocks"), classes, size, percent))
+    if has_large:
+        rest = stage(remaining_blocks(families, groups, classes, percent), "remaining-blocks")
+        if rest.limit(1).count():
+            known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            groups = components(known.unionByName(confirmed_links(df, rest, classes, size, percent)))
     named = classes.join(groups, F.col("rep") == F.col("node"), "left").select(
-        "set_id", F.coalesce("component", "rep").alias("component_id")
+        "set_id", "doc_id", F.coalesce("component", "rep").alias("component")
     )
-    joined = described.join(named, "set_id", "left")
+    named = stage(named, "named")
+    # The smallest document number of every component; each task takes its own smallest first.
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    ids = named.join(least, "component").select("set_id", "component_id")
+    return stage(described.select("doc_id", "text_hash", "n_shingles", "set_id").join(ids, "set_id", "left").drop("set_id"), "near-duplicates")
+
+
+def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` per row of ``doc_id, text``."""
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return joined.select(
+    return grouped(df, size, percent).select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
@@ -455,11 +509,16 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
 
 
 def drop_copies(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, with its own columns; of repeated rows one stays."""
-    found = stage(near_duplicates(df, size, percent), "near-duplicates")
-    gone = stage(found.filter(~F.col("kept")).select("doc_id").distinct(), "copies")
-    # Copies are named by their numbers alone; while those are few, the texts need not be shuffled.
-    gone = F.broadcast(gone) if 32 * gone.count() <= BROADCAST_BYTES else gone
-    kept = df.join(gone, "doc_id", "left_anti").select(*df.columns)
-    repeated = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    """One document of each group, with its own columns; of repeated rows one stays.
+
+    Rows are told by number and text, so a number that comes with two texts loses only the one that is a copy.
+    """
+    found = grouped(df, size, percent)
+    copy = F.col("doc_id") != F.coalesce("component_id", "doc_id")
+    gone = stage(found.filter(copy).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(), "copies")
+    # Copies are named by two numbers alone; while those are few, the texts need not be shuffled.
+    gone = F.broadcast(gone) if 48 * gone.count() <= BROADCAST_BYTES else gone
+    same = (df["doc_id"].cast("long") == gone["_doc"]) & (F.xxhash64(df["text"].cast("string")) == gone["_hash"])
+    kept = df.join(gone, same, "left_anti").select(*df.columns)
+    repeated = found.filter(~copy).groupBy("doc_id").count().filter("count > 1")
     return kept.dropDuplicates(["doc_id", "text"]) if repeated.limit(1).count() else kept

@@ -219,7 +219,7 @@ def test_classes_of_a_crowded_region_meet(spark, monkeypatch):
         rows.append((rep, 100, [1], bytes([7] * near_dedup.LEVELS + sketch[near_dedup.LEVELS :])))
     classes = spark.createDataFrame(rows, "rep long, n_shingles long, keys array<long>, sketch binary").persist()
     regions = near_dedup.regions_of(classes).persist()
-    families = components(near_dedup.region_edges(regions, classes, 80))
+    families = components(near_dedup.region_edges(regions, classes, 80, True))
     more = near_dedup.crowded_edges(regions, families, classes, 80)
     every = families.selectExpr("node AS a", "component AS b").unionByName(more)
     assert {r.node: r.component for r in components(every).collect()} == {rep: rep % 10 for rep in range(60)}
@@ -232,6 +232,43 @@ def test_near_duplicates_with_crowded_regions(docs, texts, monkeypatch):
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, 2, 80).collect()} == expected
 
 
+def test_crowded_regions_are_deepened(spark, monkeypatch):
+    """Every deeper region holds the classes that share its prefix, is as shallow as its size allows, and is not crowded."""
+    monkeypatch.setattr(near_dedup, "REGION", 4)
+    rng = random.Random(12)
+    rows = [(1, rep, 0, bytes(rng.choice([1, 1, 1, 2, 3]) for _ in range(near_dedup.HASHES))) for rep in range(80)]
+    found = {}
+    for r in near_dedup.deepened(spark.createDataFrame(rows, "key long, rep long, tree int, sketch binary")).collect():
+        found.setdefault(r.key, set()).add(r.rep)
+    expected = set()
+
+    def split(members, depth):
+        if depth > near_dedup.LEVELS or len(members) < 2:
+            return
+        if depth > near_dedup.LEAST_DEPTH and len(members) <= 4:
+            expected.add(frozenset(m for m, _ in members))
+            return
+        for value in {s[depth] for _, s in members} if depth < near_dedup.LEVELS else ():
+            split([m for m in members if m[1][depth] == value], depth + 1)
+
+    split([(rep, sketch) for _, rep, _, sketch in rows], near_dedup.LEAST_DEPTH)
+    assert expected and {frozenset(own) for own in found.values()} == expected
+
+
+def test_blocks_are_bounded_by_bytes(docs, texts, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 400)
+    expected = {i * 3: 3 * root for i, (_, root) in enumerate(_groups(texts, 2, 80))}
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, 2, 80).collect()} == expected
+
+
+def test_one_number_with_two_texts(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = spark.createDataFrame([(1, one), (2, one), (2, two), (7, two + " end"), (9, "alone")], "doc_id long, text string")
+    found = sorted((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(rows).collect())
+    assert found == [(1, 1, True), (2, 1, False), (2, 2, True), (7, 2, False), (9, 9, True)]
+    assert sorted((r.doc_id, r.text) for r in near_dedup.drop_copies(rows).collect()) == [(1, one), (2, two), (9, "alone")]
+
+
 def test_classes_of_a_unit_meet_once(spark):
     rng = random.Random(2)
     rows = [(unit, i, b"s", rng.randrange(60, 140), rng.choice([0, 0, 0, i])) for unit in range(2) for i in range(unit * 60, unit * 60 + 60)]
@@ -402,7 +439,7 @@ def test_kneser_ney_by_hand(spark, shard, monkeypatch):
     p = _kneser_ney(Counter(w for t in train for w in t.split()))
     tests = ["ab", "abc zz", "é b", "", "ba cab abd"]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(tests)], "doc_id long, text string")
-    got = {r.doc_id: (r.log_p, r.n_events) for r in language_model.scored(rows, model).collect()}
+    got = {r.doc_id: (r.log_p, r.n_events) for r in language_model.Scorer.of(model).scored(rows).collect()}
     for i, text in enumerate(tests):
         total, n = 0.0, 0
         for word in text.split():
