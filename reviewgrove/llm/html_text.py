@@ -1,14 +1,17 @@
 """Main text of web pages by the distribution of text over lines.
 
-Markup is stripped to one line per block. Lines inside menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments count as empty; a form that holds most of the text is the page itself. The lengths of the lines are summed over
-a sliding window, those of a marked article and those of the rest apart: text surges where the sum leaves zero and dives
-where it falls back to it. What lies between a surge and its dive is kept if the sum reaches a least height there, and all
-of its lines are kept in page order. Marks are weights of a line: in an article it counts as SURGE at least, in a part named
-like one NAMED times its length.
+Markup is stripped to one line per block. Menus, headers, footers, sidebars, notices, adverts, forms and reader comments count as
+empty lines: elements of such a kind, and elements whose class or id names one. A name is a weak mark. It says nothing on ``html``
+and ``body``, around the only article, behind a word such as "no" or "with", or if the page has no surge without the text it covers.
+
+The lengths of the lines are summed over a sliding window. Text surges where the sum reaches SURGE and a share of the page's own largest
+sum, and dives where it falls below a far smaller share; what lies between is kept, and short lines at its borders that are no
+sentence are not: they belong to the menu or the footer next to it. A marked article is the text itself and is kept whole; text beside
+it only if it is longer than the article.
 
 Defined cases: a null or empty page has an empty text; repeated rows give the same text each; markup that is never closed ends with
-the element around it; an empty table gives an empty result. Other columns are carried.
+the element around it; among equal sums the first one counts; an empty table gives an empty result. Very long pages and ends of elements
+that were never opened take linear time. Other columns are carried.
 """
 
 from __future__ import annotations
@@ -26,9 +29,18 @@ from pyspark.sql import types as T
 from reviewgrove.llm.batches import alongside
 
 WINDOW = 3
-# Least window sum of a kept part, or the largest one of a page without an article if that is less.
+# Least window sum at a surge, or the largest one of a page if that is less; and the share of the largest one that a surge needs.
 SURGE = 80
+SURGE_SHARE = 0.15
+# A dive is where the sum falls below this share of the largest one, or below DIVE if that is less.
+DIVE_SHARE = 0.05
+DIVE = 20
+# A shorter line at the border of a part has to be a sentence or a title.
+BORDER = 30
+# Factor for lines in a part named like an article.
 NAMED = 2
+# A named element that the page has no surge without holds at least this share of its text.
+MOST = 0.5
 # A form with more than this share of the text that lies in no other part around the article does not count as one.
 FORM_SHARE = 0.5
 # A line is a list of links if they make up this share of it.
@@ -52,6 +64,10 @@ OUTSIDE_NAMES = frozenset(
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 ARTICLE_NAMES = frozenset("article content entry main post story".split())
 _HEADINGS = ("header", "hgroup")
+_TITLES = frozenset("h1 h2 h3 h4 h5 h6".split())
+# A name with one of these words tells about the page and not what the element is.
+QUALIFIERS = frozenset("no not non has have with without is can ok enabled disabled hide hidden show js".split())
+_SENTENCE_END = re.compile(r"[.!?\u2026:;\u3002\uff01\uff1f][\"')\]\u201d\u00bb]*$")
 
 _MARK = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)",
@@ -68,15 +84,27 @@ class Line:
     text: str
     links: int
     outside: bool
+    # The innermost named element around it, by its place among the marks; -1 without one.
+    mark: int
     form: bool
     # 2 inside an article, 1 inside a part named like one.
     inside: int
+    title: bool
+
+
+@dataclass
+class Mark:
+    """An element whose name says that it is not the article: the named one around it, and whether it holds an article."""
+
+    parent: int
+    holds_article: bool = False
 
 
 @dataclass
 class Element:
     name: str
     outside: bool
+    mark: int
     form: bool
     inside: int
 
@@ -86,13 +114,19 @@ class Stripper:
     """Goes through the markup once and collects the lines."""
 
     lines: list[Line] = field(default_factory=list)
+    marks: list[Mark] = field(default_factory=list)
     stack: list[Element] = field(default_factory=list)
+    # Places of the open elements in the stack, by name, and of all blocks among them.
+    places: dict[str, list[int]] = field(default_factory=dict)
+    blocks: list[int] = field(default_factory=list)
     pieces: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     links: int = 0
+    # Whether an article lies in no named element.
+    free_article: bool = False
 
     def top(self) -> Element:
-        return self.stack[-1] if self.stack else Element("", False, False, 0)
+        return self.stack[-1] if self.stack else Element("", False, -1, False, 0)
 
     def text(self, source: str) -> None:
         if source:
@@ -105,7 +139,8 @@ class Stripper:
         text = " ".join("".join(self.pieces).split())
         if text:
             top = self.top()
-            self.lines.append(Line(text, len(" ".join("".join(self.linked).split())), top.outside, top.form, top.inside))
+            n_links = len(" ".join("".join(self.linked).split()))
+            self.lines.append(Line(text, n_links, top.outside, top.mark, top.form, top.inside, top.name in _TITLES))
         self.pieces.clear()
         self.linked.clear()
 
@@ -117,24 +152,39 @@ class Stripper:
             self.pieces.append(" ")
         if name in VOID:
             return
-        outside, inside = around(name, source, self.top())
+        parent = self.top()
+        outside, named, inside = around(name, source, parent)
+        mark = parent.mark
+        if name in ("article", "main") and not outside:
+            if mark >= 0:
+                self.marks[mark].holds_article = True
+            elif not named:
+                self.free_article = True
+        if named:
+            self.marks.append(Mark(parent.mark))
+            mark = len(self.marks) - 1
         # An article in a form is as good as one outside.
-        form = (self.top().form or name == "form") and not (name in ("article", "main") and not outside)
-        self.stack.append(Element(name, outside, form, inside))
+        form = (parent.form or name == "form") and not (name in ("article", "main") and not outside)
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append(Element(name, outside, mark, form, inside))
         self.links += name == "a"
 
     def close(self, name: str) -> None:
         if name in BLOCKS:
             self.end_line()
+        at = (self.places.get(name) or [-1])[-1]
+        # A paragraph and what is no block end within the block around them only.
         local = name == "p" or name not in BLOCKS
-        for at in range(len(self.stack) - 1, -1, -1):
-            own = self.stack[at].name
-            if own == name:
-                self.links -= sum(element.name == "a" for element in self.stack[at:])
-                del self.stack[at:]
-                return
-            if local and own in BLOCKS:
-                return
+        if at < 0 or local and self.blocks and self.blocks[-1] > at:
+            return
+        for element in reversed(self.stack[at:]):
+            self.places[element.name].pop()
+            if element.name in BLOCKS:
+                self.blocks.pop()
+            self.links -= element.name == "a"
+        del self.stack[at:]
 
     def run(self, page: str) -> list[Line]:
         at = 0
@@ -162,70 +212,114 @@ class Stripper:
         return self.lines
 
 
-def around(name: str, source: str, parent: Element) -> tuple[bool, int]:
-    """Whether a new element lies outside the article, and how far inside a marked one."""
+def around(name: str, source: str, parent: Element) -> tuple[bool, bool, int]:
+    """Whether a new element lies outside the article by its kind, whether its name says so, and how far it is inside a marked one."""
     inside = 2 if name in ("article", "main") else parent.inside
-    if not source.strip():
-        names, role, hidden = frozenset(), "", False
-    else:
-        found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(source)}
-        names = frozenset(_NAME.findall(f"{found.get('class', '')} {found.get('id', '')}"))
-        role = found.get("role", "")
-        style = found.get("style", "").replace(" ", "")
-        hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
-    apart = name in OUTSIDE or bool(names & OUTSIDE_NAMES) or role in OUTSIDE_ROLES or hidden
-    if name in _HEADINGS and parent.inside < 2:
-        apart = True
-    if name in ("article", "main") and not apart:
-        return False, inside
-    if not apart and (names & ARTICLE_NAMES or role in ("main", "article")):
+    apart = name in OUTSIDE or (name in _HEADINGS and parent.inside < 2)
+    if name in ("html", "body") or not source.strip():
+        return apart or parent.outside, False, inside
+    found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(source)}
+    role, style = found.get("role", ""), found.get("style", "").replace(" ", "")
+    hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
+    apart = apart or role in OUTSIDE_ROLES or hidden
+    tokens = [_NAME.findall(token) for token in f"{found.get('class', '')} {found.get('id', '')}".split()]
+    named = any(OUTSIDE_NAMES.intersection(words) and not QUALIFIERS.intersection(words) for words in tokens)
+    if not apart and not named and (role in ("main", "article") or any(ARTICLE_NAMES.intersection(words) for words in tokens)):
         inside = max(inside, 1)
-    return apart or parent.outside, inside
+    return apart or parent.outside, named, inside
 
 
-def kept_lines(lines: Sequence[Line]) -> list[str]:
-    """Text between the surges and dives of the window sums."""
-    around_forms = sum(len(line.text) for line in lines if not line.outside)
+def marks_that_hold(lines: Sequence[Line], marks: Sequence[Mark], free_article: bool) -> list[bool]:
+    """Whether each mark or one around it holds, so that a line under it is not of the article.
+
+    One around an article does not, unless there is an article elsewhere: then it is a list of teasers or comments.
+    """
+    sizes = [0] * len(marks)
+    holds = [mark.holds_article and not free_article for mark in marks]
+    for line in lines:
+        if line.mark >= 0 and not line.outside:
+            sizes[line.mark] += len(line.text)
+    for i in range(len(marks) - 1, -1, -1):
+        if marks[i].parent >= 0:
+            sizes[marks[i].parent] += sizes[i]
+            holds[marks[i].parent] |= holds[i]
+
+    def applied(void: Sequence[bool]) -> list[bool]:
+        out: list[bool] = []
+        for i, mark in enumerate(marks):
+            out.append(not void[i] or (mark.parent >= 0 and out[mark.parent]))
+        return out
+
+    held = applied(holds)
+    without = [0 if line.outside or line.mark >= 0 and held[line.mark] else len(line.text) for line in lines]
+    if max(window_sums(without), default=0) < SURGE:
+        total = sum(len(line.text) for line in lines if not line.outside)
+        held = applied([hold or size >= MOST * total for hold, size in zip(holds, sizes)])
+    return held
+
+
+def kept_lines(lines: Sequence[Line], marks: Sequence[Mark] = (), free_article: bool = False) -> list[str]:
+    """Marked articles, and the text between the surges and dives of the window sums."""
+    held = marks_that_hold(lines, marks, free_article)
+    gone = [line.outside or line.mark >= 0 and held[line.mark] for line in lines]
+    around_forms = sum(len(line.text) for line, out in zip(lines, gone) if not out)
     # A form inside an article is never the page itself.
-    in_forms = sum(len(line.text) for line in lines if line.form and not line.outside and line.inside < 2)
+    in_forms = sum(len(line.text) for line, out in zip(lines, gone) if line.form and not out and line.inside < 2)
     page_form = in_forms > FORM_SHARE * around_forms
-    article, rest = [], []
-    for line in lines:
-        empty = line.outside or line.form and (not page_form or line.inside == 2)
+    kept, article, rest = set(), 0, []
+    for i, line in enumerate(lines):
+        empty = gone[i] or line.form and (not page_form or line.inside == 2)
         if not line.inside and line.links >= LINK_SHARE * len(line.text):
             empty = True
-        size = 0 if empty else len(line.text)
-        article.append(max(size, SURGE) if size and line.inside == 2 else 0)
-        rest.append(size * (NAMED if line.inside else 1) if line.inside < 2 else 0)
-    kept = {i for surge, dive in parts(article, SURGE) for i in range(surge, dive) if article[i]}
-    least = SURGE if kept else min(SURGE, max(window_sums(rest), default=0))
-    kept |= {i for surge, dive in parts(rest, least) for i in range(surge, dive) if rest[i]}
+        if line.inside == 2 and not empty:
+            kept.add(i)
+            article += len(line.text)
+        rest.append(0 if empty or line.inside == 2 else len(line.text) * (NAMED if line.inside else 1))
+    for surge, dive in parts(rest, SURGE if article else min(SURGE, max(window_sums(rest), default=0))):
+        own = trimmed(lines, [i for i in range(surge, dive) if rest[i]])
+        if sum(len(lines[i].text) for i in own) >= article:
+            kept.update(own)
     return [line.text for i, line in enumerate(lines) if i in kept]
 
 
+def trimmed(lines: Sequence[Line], own: list[int]) -> list[int]:
+    """``own`` without short lines at both ends that are neither a sentence, nor named, nor a title with text behind it."""
+
+    def solid(i: int) -> bool:
+        return len(lines[i].text) >= BORDER or lines[i].inside > 0 or _SENTENCE_END.search(lines[i].text) is not None
+
+    body = [k for k, i in enumerate(own) if solid(i)]
+    if not body:
+        return own
+    first = next((k for k in range(body[0]) if lines[own[k]].title), body[0])
+    return own[first : body[-1] + 1]
+
+
 def window_sums(sizes: Sequence[int]) -> list[int]:
     return [sum(sizes[i : i + WINDOW]) for i in range(len(sizes))]
 
 
 def parts(sizes: Sequence[int], least: int) -> list[tuple[int, int]]:
-    """Surge and dive of each part whose window sum reaches ``least``."""
+    """Surge and dive of each part: the sum rises to ``least`` and a share of the largest one, and falls below a smaller share of it."""
     sums = window_sums(sizes)
+    peak = max(sums, default=0)
+    high, low = max(least, SURGE_SHARE * peak), min(DIVE, DIVE_SHARE * peak)
     found, at = [], 0
     while at < len(sums):
-        if not sums[at]:
+        if not sums[at] or sums[at] < high:
             at += 1
             continue
         dive = at
-        while dive < len(sums) and sums[dive]:
+        while dive < len(sums) and sums[dive] and sums[dive] >= low:
             dive += 1
-        if max(sums[at:dive]) >= least:
-            found.append((at, dive))
+        found.append((at, dive))
         at = dive
     return found
 
 
 def main_text(page: str) -> str:
-    return " ".join(kept_lines(Stripper().run(page)))
+    stripper = Stripper()
+    return " ".join(kept_lines(stripper.run(page), stripper.marks, stripper.free_article))
 
 
 OUTPUTS = [T.StructField("text", T.StringType())]

@@ -572,6 +572,51 @@ def test_main_text_by_windows():
     assert html_text.main_text(f"<article><p>Short.</p></article>{far}<p>Go</p>{far}<div>{body}</div>") == "Short. " + whole
 
 
+def test_names_are_weak_marks():
+    """A name on the whole page, around the article, with a qualifier, or without another surge does not empty the page."""
+    body = "".join(f"<p>{text}</p>" for text in BODY)
+    whole = " ".join(BODY)
+    for page in (
+        f'<html><body class="no-sidebar">{body}</body></html>',
+        f'<html class="sidebar cookie-ok"><body id="comments">{body}</body></html>',
+        f'<div class="layout with-comments">{body}</div>',
+        f'<div id="post-search">{body}</div>',
+        f'<article class="post has-comments">{body}</article>',
+        f'<div class="sidebar-layout"><div class="widget"><article>{body}</article></div><div class="comments"><p>{whole}</p></div></div>',
+        f'{body}<div class="site-footer">{whole}</div><div id="reader-comments">{whole}{whole}{whole}</div><article class="comment">{whole}</article>',
+        f'<article>{body}<section class="comments"><article><p>{whole}</p></article></section></article>',
+        f'<main>{body}</main><div class="comments"><article>{whole}</article><article>{whole}</article></div>',
+        f'<div class="ad"><p>{whole}</p></div><main>{body}</main><div class="newsletter signup">{whole}</div>',
+    ):
+        assert html_text.main_text(page) == whole
+
+
+def test_windows_find_the_body_of_an_unmarked_page(monkeypatch):
+    body = [*BODY, "Short.", "And a last one that is long enough to be told from the menu by its length."]
+    divs = lambda texts: "".join(f"<div>{text}</div>" for text in texts)
+    page = divs(["Home", "About us", "Contact"]) + "<h1>Title</h1>" + divs(body) + divs(["Tags", "All rights reserved"])
+    assert html_text.main_text(page) == " ".join(["Title", *body])
+    assert html_text.main_text(divs(["Menu", "Entry", "More", "Next"]) + divs(body) + divs(["a", "b", "c", "d", "Promo text of some words"])) == " ".join(body)
+    monkeypatch.setattr(html_text, "WINDOW", 1)
+    monkeypatch.setattr(html_text, "DIVE_SHARE", 0.2)
+    assert "Short." not in html_text.main_text(page)
+
+
+def test_text_beside_an_article():
+    article = "".join(f"<p>{text}</p>" for text in BODY * 3)
+    promo = " ".join(["promo"] * 40)
+    assert html_text.main_text(f"<article>{article}</article><div>{promo}</div>") == " ".join(BODY * 3)
+
+
+def test_stray_ends_take_linear_time():
+    import time
+
+    start = time.process_time()
+    for page in ("<b>" * 20000 + "x" + "</i>" * 20000, "<i><div>" + "<b>" * 20000 + "x" + "</i>" * 20000, "<div class='ad'>" * 20000 + "x"):
+        assert html_text.main_text(page) == "x"
+    assert time.process_time() - start < 3
+
+
 def test_main_text(spark):
     for page, text in PAGES.items():
         assert html_text.main_text(page) == text
