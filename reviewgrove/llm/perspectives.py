@@ -3,7 +3,8 @@
 Every participant (each role but the system's) gets the whole dialogue: own turns as ``assistant``, the others' as
 ``user`` with their name, system turns as ``system``. The result has one row per turn and perspective, so a dialogue of
 any length is dealt over tasks; the mask is the span of a turn's text that is learnt, empty for turns of others. ``position`` orders the
-turns of a rendering.
+turns of a rendering, ``starts_at`` is where a turn starts in the rendered dialogue, and ``learn_from`` and ``learn_to`` are its mask there.
+Both come from prefix sums over sorted ranges, so one very long dialogue is not one task.
 
 Defined cases: a null text is empty, a null role is the speaker ``unknown``; equal turn numbers are ordered by role and text, repeated rows
 stay; turns without a conversation number form one dialogue; a dialogue of system turns only has no participant
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewgrove.llm.mixing import ranges, with_sums_ahead
+
 SYSTEM = "system"
 UNKNOWN = "unknown"
 OPEN, CLOSE, STOP = "<|", "|>", "<|end|>"
@@ -36,7 +39,7 @@ def turns(df: DataFrame) -> DataFrame:
     )
 
 
-def perspectives(df: DataFrame) -> DataFrame:
+def rendered_turns(df: DataFrame) -> DataFrame:
     """One row per turn and participant: ``conv_id, perspective, turn, speaker, role, name, rendered, mask_start, mask_end``.
 
     The participants of a dialogue are a short list made by a grouped set, summed in every task first; a dialogue
@@ -65,19 +68,36 @@ def perspectives(df: DataFrame) -> DataFrame:
     )
 
 
-def dialogues(rendered: DataFrame) -> DataFrame:
-    """``conv_id, perspective, text, masks``: renderings put together, for dialogues that fit a row."""
-    order = F.struct("turn", "speaker", "rendered", "mask_start", "mask_end")
-    rows = rendered.groupBy("conv_id", "perspective").agg(F.array_sort(F.collect_list(order)).alias("turns"))
-    text = F.array_join(F.col("turns")["rendered"], "")
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,stop:long>>").alias("masks"))
+def perspectives(df: DataFrame) -> DataFrame:
+    """``rendered_turns`` with ``position``, ``starts_at``, ``learn_from`` and ``learn_to``: places in the rendered dialogue."""
+    order = ["turn", "speaker", "rendered"]
+    dialogue = ["_none", "_conv", "perspective"]
+    rows = rendered_turns(df).withColumns(
+        {
+            "_none": F.col("conv_id").isNull(), "_conv": F.coalesce(F.col("conv_id").cast("string"), F.lit("")),
+            "_one": F.lit(1), "_size": F.length("rendered").cast("long"),
+        }
+    )
+    placed = with_sums_ahead(ranges(rows, [*dialogue, *order], "turns"), dialogue, order, ["_one", "_size"])
+    learnt = F.col("mask_end") > 0
+    return placed.withColumns(
+        {
+            "position": F.col("ahead__one").cast("long"),
+            "starts_at": F.col("ahead__size").cast("long"),
+            "learn_from": F.when(learnt, F.col("ahead__size") + F.col("mask_start")).otherwise(0).cast("long"),
+            "learn_to": F.when(learnt, F.col("ahead__size") + F.col("mask_end")).otherwise(0).cast("long"),
+        }
+    ).drop("_none", "_conv", "_one", "_size", "part", "ahead__one", "ahead__size")
 
-    def add(done: Column, turn: Column) -> Column:
-        span = F.struct((done["at"] + turn["mask_start"]).alias("start"), (done["at"] + turn["mask_end"]).alias("stop"))
-        masks = F.when(turn["mask_end"] > 0, F.concat(done["masks"], F.array(span))).otherwise(done["masks"])
-        return F.struct((done["at"] + F.length(turn["rendered"])).alias("at"), masks.alias("masks"))
 
-    return rows.select("conv_id", "perspective", text.alias("text"), F.aggregate("turns", empty, add)["masks"].alias("masks"))
+def dialogues(rendered: DataFrame) -> DataFrame:
+    """``conv_id, perspective, text, masks`` from ``perspectives``: renderings put together, for dialogues that fit a row."""
+    turn = F.struct("position", "rendered", "learn_from", "learn_to")
+    rows = rendered.groupBy("conv_id", "perspective").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    masks = F.transform(
+        F.filter("turns", lambda t: t["learn_to"] > 0), lambda t: F.struct(t["learn_from"].alias("start"), t["learn_to"].alias("stop"))
+    )
+    return rows.select("conv_id", "perspective", F.array_join(F.col("turns")["rendered"], "").alias("text"), masks.alias("masks"))
 
 
 SQL = """
@@ -88,9 +108,17 @@ parts AS (
     CASE WHEN s.speaker = p.perspective THEN 'assistant' WHEN s.speaker = 'system' THEN 'system' ELSE 'user' END AS role,
     CASE WHEN s.speaker NOT IN (p.perspective, 'system') THEN s.speaker END AS name
   FROM said s JOIN people p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
-heads AS (SELECT *, '<|' || role || coalesce(' name=' || name, '') || '|>' || chr(10) AS head FROM parts)
-SELECT conv_id, perspective, turn, speaker, role, name, head || content || '<|end|>' || chr(10) AS rendered,
-  CASE WHEN role = 'assistant' THEN length(head) ELSE 0 END AS mask_start,
-  CASE WHEN role = 'assistant' THEN length(head) + length(content) + 7 ELSE 0 END AS mask_end
-FROM heads
+heads AS (SELECT *, '<|' || role || coalesce(' name=' || name, '') || '|>' || chr(10) AS head FROM parts),
+turns AS (
+  SELECT conv_id, perspective, turn, speaker, role, name, head || content || '<|end|>' || chr(10) AS rendered,
+    CASE WHEN role = 'assistant' THEN length(head) ELSE 0 END AS mask_start,
+    CASE WHEN role = 'assistant' THEN length(head) + length(content) + 7 ELSE 0 END AS mask_end
+  FROM heads),
+placed AS (
+  SELECT *, row_number() OVER so_far - 1 AS position, sum(length(rendered)) OVER so_far - length(rendered) AS starts_at FROM turns
+  WINDOW so_far AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, rendered ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, perspective, turn, speaker, role, name, rendered, mask_start, mask_end, position, starts_at::BIGINT AS starts_at,
+  CASE WHEN mask_end > 0 THEN starts_at + mask_start ELSE 0 END::BIGINT AS learn_from,
+  CASE WHEN mask_end > 0 THEN starts_at + mask_end ELSE 0 END::BIGINT AS learn_to
+FROM placed
 """

@@ -2,16 +2,17 @@
 
 A rule names a host and a path; it fits the host and its subdomains when the path of the URL starts with its own, and
 the longest fitting rule decides. Without one, terms of the vocabulary are counted in host, path and the rest of the URL,
-lower-cased, where they stand between characters that are neither letters nor digits. One strict term, or SOFT_LIMIT
-different soft ones, block the URL.
+with percent codes decoded and lower-cased, where they stand between characters that are neither letters nor digits. One strict term, or
+SOFT_LIMIT different soft ones, block the URL. A URL whose codes are no UTF-8 is read as it stands.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path and no rule; a null or empty URL is allowed; repeated
-rows are judged one by one; an empty table gives an empty result. Other columns are carried.
+rows are judged one by one; of rules of equal length there is at most one per URL; very long URLs are read whole in linear time; an empty table gives an empty result. Other columns are carried.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote_to_bytes
 
 import ahocorasick
 import pyarrow as pa
@@ -28,8 +29,17 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-STRICT = ("porn", "xxx", "escort", "casino", "viagra", "warez")
-SOFT = ("adult", "bet", "betting", "bonus", "cheap", "dating", "free", "hot", "jackpot", "loan", "nude", "poker", "pills", "sex", "win")
+# The vocabulary, in the four languages of the pages.
+STRICT = (
+    "porn", "porno", "pornos", "pornographie", "pornografie", "pornografia", "xxx", "escort", "escorts", "hentai", "camgirl", "sexcam",
+    "casino", "viagra", "cialis", "warez", "keygen", "bordel", "bordell", "burdel", "putas",
+)
+SOFT = (
+    "adult", "bet", "betting", "bonus", "cheap", "dating", "free", "hot", "jackpot", "loan", "nude", "poker", "pills", "sex", "win",
+    "adulte", "gratuit", "rencontre", "rencontres", "pari", "paris-sportifs", "nue", "nues", "erotique",
+    "kostenlos", "wette", "wetten", "nackt", "kredit", "erotik", "gewinnspiel", "singles",
+    "adulto", "gratis", "apuesta", "apuestas", "desnuda", "desnudas", "citas", "prestamo", "erotica", "sexo", "sexe",
+)
 SOFT_LIMIT = 2
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 OUTPUTS = [
@@ -85,9 +95,18 @@ def automaton(strict: Iterable[str], soft: Iterable[str]) -> ahocorasick.Automat
     return built
 
 
+def decoded(url: str) -> str:
+    if "%" not in url:
+        return url
+    try:
+        return unquote_to_bytes(url).decode()
+    except UnicodeDecodeError:
+        return url
+
+
 def count_terms(url: str, built: ahocorasick.Automaton) -> tuple[int, int]:
     """Occurrences of strict terms and number of different soft ones between boundaries."""
-    low = url.translate(_LOWER)
+    low = decoded(url).translate(_LOWER)
     strict, soft = 0, set()
     for last, (term, is_strict) in built.iter(low):
         first = last - len(term) + 1
@@ -147,7 +166,7 @@ urls AS (SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), ':/
 hosts AS (SELECT page_id, url, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest FROM urls),
 parts AS (SELECT page_id, url, regexp_extract(rest, '^[^/?#]*') AS raw, regexp_extract(regexp_replace(rest, '^[^/?#]*', ''), '^[^?#]*') AS path FROM hosts),
 plain AS (SELECT page_id, path, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-  translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM parts),
+  translate(coalesce(TRY(url_decode(url)), url), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM parts),
 counted AS (SELECT page_id, host, path, {strict} AS n_strict, {soft} AS n_soft FROM plain),
 fitting AS (SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v
   FROM plain JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)

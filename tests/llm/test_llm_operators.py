@@ -488,7 +488,7 @@ def test_hash_ring(docs, texts, empty):
 
 
 def test_ring_walk_by_key():
-    """Overflow by single keys in ring order gives the same numbers, and one more shard moves few keys."""
+    """Numbers by arc and by shard add up, and what overflows goes clockwise."""
     ring = sharding.points(4, 8)
     owners = [shard for _, shard in ring]
     rng = random.Random(3)
@@ -503,6 +503,36 @@ def test_ring_walk_by_key():
         assert places == sorted(places)
 
 
+def test_ring_by_single_documents(spark):
+    """Every document walks clockwise by itself, offered to one node further on in every round; one more shard moves few of them."""
+    texts = ["t" * (i % 7) for i in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    places = {r.doc_id: r.place for r in df.select("doc_id", sharding.place_of(df["doc_id"]).alias("place")).collect()}
+
+    def by_hand(shards, virtual):
+        ring = sharding.points(shards, virtual)
+        nodes = [place for place, _ in ring]
+        waiting = [[] for _ in range(len(ring) + 1)]
+        for doc in sorted(places, key=lambda doc: (places[doc], doc)):
+            waiting[int(np.searchsorted(nodes, places[doc]))].append(doc)
+        room = [len(places) // shards + (s < len(places) % shards) for s in range(shards)]
+        out = {}
+        for step in range(len(ring)):
+            for arc, docs in enumerate(waiting):
+                shard = ring[(arc + step) % len(ring)][1]
+                while docs and room[shard]:
+                    out[docs.pop(0)] = shard
+                    room[shard] -= 1
+        return out
+
+    before = {r.doc_id: r.shard for r in sharding.deal(df).collect()}
+    assert before == by_hand(16, sharding.VIRTUAL)
+    after = {r.doc_id: r.shard for r in sharding.deal(df, 17).collect()}
+    assert after == by_hand(17, sharding.VIRTUAL)
+    # 1 / 17 of all have to move; a plain modulo would move 16 / 17.
+    assert 1 / 17 - 0.01 < sum(before[doc] != after[doc] for doc in before) / len(before) < 0.15
+
+
 def test_perspectives(spark):
     rows = [
         (1, 0, "system", "Be kind."), (1, 1, "ann", "Hi"), (1, 2, "bob", None), (1, 2, "ann", "Ho"), (1, 2, "ann", "Ho"),
@@ -520,6 +550,11 @@ def test_perspectives(spark):
     whole = {(r.conv_id, r.perspective): r for r in perspectives.dialogues(found).collect()}
     ann = whole[1, "ann"]
     assert [ann.text[m.start : m.stop] for m in ann.masks] == ["Hi<|end|>", "Ho<|end|>", "Ho<|end|>"]
+    for r in found.collect():
+        text = whole[r.conv_id, r.perspective].text
+        assert text[r.starts_at : r.starts_at + len(r.rendered)] == r.rendered
+        assert text[r.learn_from : r.learn_to] == r.rendered[r.mask_start : r.mask_end]
+    assert sorted(r.position for r in found.collect() if r.perspective == "bob") == [0, 1, 2, 3, 4]
     assert "<|user name=bob|>\n<|end|>" in ann.text and (2, "system") not in whole
     assert perspectives.perspectives(df.limit(0)).count() == 0
 
@@ -529,6 +564,8 @@ def test_urls(spark):
         "http://a.example.com/en/x?q=1", "http://www.example.com/en/", "https://x.www.example.com/en/1#t", "http://EXAMPLE.com", "//x", "", None,
         "http://b.net/es/1", "http://b.net/es", "http://net/fr/", "http://casino.example.org/", "http://casinos.example.org/", "http://x.org/free-bet",
         "http://x.org/free/free", "http://notexample.com/en/", "http://example.org/p?url=http://casino.com", "http://b.net:80/fr/", "ftp://É.org/xxxé",
+        "http://x.org/best%20casino", "http://x.org/%63asino", "http://x.org/%E9/casino%20", "http://x.org/100%", "http://x.org/gratuit/rencontres",
+        "http://x.org/%70%6frn%2Fx", "http://x.org/" + "a%20" * 20000 + "xxx",
     ]
     rows = [(i, url, "clash") for i, url in enumerate([*urls, urls[0]])]
     df = spark.createDataFrame(rows, "page_id long, url string, verdict string")
@@ -542,6 +579,7 @@ def test_urls(spark):
         ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("www.example.com/en/", "allow"), (None, "allow"), ("net/es/", "block"),
         (None, "allow"), (None, "block"), (None, "allow"), (None, "block"), (None, "allow"),
     ]
+    assert [verdicts[i][1] for i in range(18, 25)] == ["block", "block", "block", "allow", "block", "block", "block"]
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
