@@ -395,14 +395,21 @@ def test_log_ratio_by_hand(spark, monkeypatch):
         assert got[number] == pytest.approx(np.mean(own))
 
 
-def _kneser_ney(words):
-    """Plain version of the model on words with their counts: probability of a symbol after a context."""
-    order, start, end = language_model.ORDER, language_model.START, language_model.END
+def _symbols(text):
+    """The bytes of the words of a text, each word with its end, behind starts."""
+    out = [language_model.START] * (language_model.ORDER - 1)
+    for word in text.split():
+        out += [*word.encode(), language_model.END]
+    return out
+
+
+def _kneser_ney(texts):
+    """Plain version of the model on texts: probability of a symbol after a context."""
+    order = language_model.ORDER
     tables = [Counter() for _ in range(order + 1)]
-    for word, n in words.items():
-        symbols = [start] * (order - 1) + list(word.encode()) + [end]
+    for symbols in map(_symbols, texts):
         for i in range(order - 1, len(symbols)):
-            tables[order][tuple(symbols[i - order + 1 : i + 1])] += n
+            tables[order][tuple(symbols[i - order + 1 : i + 1])] += 1
     for k in range(order - 1, 0, -1):
         for gram in tables[k + 1]:
             tables[k][gram[1:]] += 1
@@ -436,18 +443,35 @@ def test_kneser_ney_by_hand(spark, shard, monkeypatch):
     train = ["ab abc ab", "abd é bca", "cab ba ba ba", "dab"]
     texts = spark.createDataFrame([(t,) for t in train], "text string")
     model = language_model.fit(language_model.gram_counts(texts))
-    p = _kneser_ney(Counter(w for t in train for w in t.split()))
+    p = _kneser_ney(train)
     tests = ["ab", "abc zz", "é b", "", "ba cab abd"]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(tests)], "doc_id long, text string")
     got = {r.doc_id: (r.log_p, r.n_events) for r in language_model.Scorer.of(model).scored(rows).collect()}
     for i, text in enumerate(tests):
-        total, n = 0.0, 0
-        for word in text.split():
-            symbols = [language_model.START] * (language_model.ORDER - 1) + list(word.encode()) + [language_model.END]
-            for k in range(language_model.ORDER - 1, len(symbols)):
-                total += np.log(p(tuple(symbols[k - language_model.ORDER + 1 : k + 1])))
-                n += 1
-        assert got[i] == (pytest.approx(total, abs=1e-4), n)
+        symbols = _symbols(text)
+        places = range(language_model.ORDER - 1, len(symbols))
+        total = sum(np.log(p(tuple(symbols[k - language_model.ORDER + 1 : k + 1]))) for k in places)
+        assert got[i] == (pytest.approx(total, abs=1e-4), len(places))
+
+
+def test_order_of_words_counts(spark):
+    """Words in a wrong order are less likely than the trusted text they are from."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 4))) for _ in range(60)]
+    after = {w: rng.sample(words, 2) for w in words}
+
+    def text(n):
+        out = [rng.choice(words)]
+        while len(out) < n:
+            out.append(rng.choice(after[out[-1]]))
+        return out
+
+    train = spark.createDataFrame([(" ".join(text(60)),) for _ in range(200)], "text string")
+    scorer = language_model.Scorer.of(language_model.fit(language_model.gram_counts(train)))
+    own = text(200)
+    rows = spark.createDataFrame([(0, " ".join(own)), (1, " ".join(rng.sample(own, len(own))))], "doc_id long, text string")
+    got = {r.doc_id: r.log_p / r.n_events for r in scorer.scored(rows).collect()}
+    assert got[0] > got[1] + 0.2
 
 
 def test_classifier_on_held_out_labels(spark, sf_dir):
