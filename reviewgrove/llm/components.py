@@ -16,19 +16,18 @@ def components(edges: DataFrame) -> DataFrame:
     a node with very many neighbours is summed up before the shuffle, and Spark splits its join.
     """
     now = stage(_oriented(edges), "edges")
-    state = _mark(now)
     while True:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # Large star: the larger neighbours of a node go to the smallest of its neighbourhood.
-        large = _oriented(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        upward = now.select(F.col("b").alias("u"), F.col("a").alias("v"))
+        both = now.select(F.col("a").alias("u"), "b").unionByName(upward.select("u", F.col("v").alias("b")))
+        least = both.groupBy("u").agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = stage(upward.join(least, "u").filter("v <> m").select(F.greatest("v", "m").alias("a"), F.least("v", "m").alias("b")), "large-star")
         # Small star: the smaller neighbours of a node, and the node, go to the smallest of them.
-        large = stage(large, "large-star")
         small_least = large.groupBy("a").agg(F.min("b").alias("m"))
         linked = large.join(small_least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = stage(_oriented(linked.unionByName(small_least.select("a", F.col("m").alias("b")))), "small-star")
-        before, state = state, _mark(now)
-        if before == state:
+        # Done when no node that others point at points further on.
+        if not now.select("a").join(now.select(F.col("b").alias("a")).distinct(), "a", "left_semi").limit(1).count():
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
@@ -39,8 +38,3 @@ def _oriented(edges: DataFrame) -> DataFrame:
     return (
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
-
-
-def _mark(edges: DataFrame) -> tuple:
-    """Tells two tables of edges apart: their number and a checksum that does not depend on the order."""
-    return tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first())

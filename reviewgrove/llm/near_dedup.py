@@ -162,13 +162,17 @@ def chains(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
             # Grow one chain after another: a class takes all classes that may be similar to it out of the list.
             while len(todo) > 1:
                 queue, todo = [int(todo[0])], todo[1:]
+                chain = list(queue)
                 while queue and len(todo):
                     at = queue.pop()
                     near = agreement(matrix[at], matrix[todo]) >= least
                     found = todo[near]
                     todo = todo[~near]
-                    edges += [(reps[at], reps[i]) for i in found.tolist()]
+                    chain += found.tolist()
                     queue += found.tolist()
+                # A chain is written as a star, which takes the fewest rounds to put together.
+                least_rep = min(reps[i] for i in chain)
+                edges += [(reps[i], least_rep) for i in chain if reps[i] != least_rep]
         reps, sketches = reps[len(reps) - keep :] if keep else [], sketches[len(sketches) - keep :] if keep else []
         if not edges:
             return None
@@ -288,7 +292,8 @@ def blocks_of(families: DataFrame, classes: DataFrame) -> tuple[DataFrame, bool]
     hubs = _hubs(large)
     meeting = placed.select("component", "block").distinct().join(hubs, "component")
     blocks = small.unionByName(placed.select("rep", "sketch", "block")).unionByName(meeting.select("rep", "sketch", "block"))
-    return blocks.distinct().withColumns(alone), True
+    # A central class may come to a block twice; it is taken once there.
+    return blocks.withColumns(alone), True
 
 
 def band(percent: int) -> Column:
@@ -367,8 +372,8 @@ def _hubs(large: DataFrame) -> DataFrame:
 def linked(
     rows: list[tuple[int, bytes, int, int, int]], percent: int, is_link: Callable[[int, int], bool] | None = None
 ) -> list[tuple[int, int]]:
-    """Links between the classes ``rep, sketch, group, side, n_shingles`` of a block: pairs whose estimate reaches the
-    threshold less SLACK, the highest first, and for which ``is_link`` holds on their places in ``rows``.
+    """Links between the classes ``rep, sketch, group, side, n_shingles`` of a block, each class to the first one that it hangs together
+    with: pairs whose estimate reaches the threshold less SLACK, the highest first, and for which ``is_link`` holds on their places in ``rows``.
 
     Classes of one group are linked already, and classes on the same side, other than side 0, do not meet here.
     """
@@ -396,7 +401,7 @@ def linked(
         first.append(np.full(int(near.sum()), i))
         second.append(later[near])
         estimates.append(share[near])
-    links = []
+    links: list[tuple[int, int]] = []
     if first:
         pairs = np.stack([np.concatenate(first), np.concatenate(second)], axis=1)
         order = np.argsort(-np.concatenate(estimates), kind="stable")
@@ -404,8 +409,10 @@ def linked(
             a, b = find(i), find(j)
             if a != b and (is_link is None or is_link(i, j)):
                 root[max(a, b)] = min(a, b)
-                links.append((rows[j][0], rows[i][0]))
-    return links
+                links.append((i, j))
+    # Everything that was linked here, as stars.
+    touched = sorted({i for pair in links for i in pair})
+    return [(rows[i][0], rows[find(i)][0]) for i in touched if find(i) != i]
 
 
 def confirm(rows: list[tuple[int, bytes, int, int, bytes]], percent: int) -> list[tuple[int, int]]:
