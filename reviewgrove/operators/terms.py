@@ -134,7 +134,7 @@ def _measure(terms: DataFrame) -> tuple[int, int]:
     return row["n"], row["chars"] + row["n"] * _BYTES_PER_ROW
 
 
-def lowest_hot_count(vocabulary: Vocabulary, limit: int = BROADCAST_LIMIT) -> int | None:
+def lowest_hot_count(vocabulary: Vocabulary, limit: int) -> int | None:
     """The lowest corpus count at which all terms from there upwards fit ``limit`` bytes together; None if not even the first do.
 
     Found from the bytes per count, a far shorter table than the terms.
@@ -145,13 +145,14 @@ def lowest_hot_count(vocabulary: Vocabulary, limit: int = BROADCAST_LIMIT) -> in
     return per_count.select("corpus_count", upto.alias("upto")).filter(F.col("upto") <= limit).agg(F.min("corpus_count")).first()[0]
 
 
-def weigh(cells: DataFrame, vocabulary: Vocabulary, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def weigh(cells: DataFrame, vocabulary: Vocabulary, limit: int | None = None) -> DataFrame:
     """Add ``tfidf`` to long term counts and drop terms outside the vocabulary.
 
-    A vocabulary of up to ``limit`` bytes is broadcast. Of a larger one the most frequent terms, as many as fit, are
+    A vocabulary of up to ``limit`` bytes (default: BROADCAST_LIMIT) is broadcast. Of a larger one the most frequent terms, as many as fit, are
     broadcast, and they hold most of the cells. Only the cells of the other terms are shuffled to meet theirs, so no
     term with very many cells goes through a shuffle.
     """
+    limit = BROADCAST_LIMIT if limit is None else limit
     sides = vocabulary.table.select("term", "idf", "corpus_count")
     if vocabulary.n_bytes <= limit:
         joined = cells.join(F.broadcast(sides), "term")
