@@ -65,6 +65,7 @@ def beside(
     outputs: Sequence[T.StructField],
     start: Callable[[], Callable[[pa.Array], Sequence[pa.Array]]],
     carry: Sequence[str] | None = None,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """The same as ``alongside``, but only the texts go to the workers and only the outputs come back.
 
@@ -80,7 +81,7 @@ def beside(
             texts = pc.fill_null(texts, "")
             parts = [
                 pa.StructArray.from_arrays(list(work(texts.slice(first, last - first))), names=schema.names)
-                for first, last in slices(texts)
+                for first, last in slices(texts, slice_bytes)
             ]
             yield pa.concat_arrays(parts) if parts else pa.array([], to_arrow_type(schema))
 
