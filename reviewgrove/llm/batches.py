@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
@@ -147,6 +149,15 @@ def process_store() -> dict:
     return sys.modules.setdefault("_task_store", types.ModuleType("_task_store")).__dict__
 
 
+def give_back() -> None:
+    """Return memory that this Python worker has freed to the machine; workers go on to tasks of other stages and keep it else."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def powers(base: int, size: int) -> np.ndarray:
     """``base ** i`` modulo 2^64 for i below ``size``; kept per process."""
     store = process_store()

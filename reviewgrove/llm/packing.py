@@ -20,12 +20,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewgrove.llm.batches import give_back
 from reviewgrove.llm.tokens import encoded
 from reviewgrove.session import stage
 
 LENGTH = 2048
 END_ID = 1
 OPEN_WINDOWS = 128
+# Bytes of text that are encoded at a time, and pieces that are sent back at a time. They bound the memory of a task.
+SLICE_BYTES = 1 << 20
+PIECES_AT_ONCE = 1024
 # Tasks whose open windows are merged in one round by one group.
 FAN_IN = 16
 _PIECE = [
@@ -86,6 +90,7 @@ def place(df: DataFrame, tokenizer: str, length: int = LENGTH, windows: int = OP
     """Pieces of ``doc_id, text`` with their ids; ``open`` ones lie in windows that were not yet full at the end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         part, sequence, piece = TaskContext.get().partitionId(), 0, 0
         state = Windows(length, windows)
         rows: list[tuple] = []
@@ -105,24 +110,26 @@ def place(df: DataFrame, tokenizer: str, length: int = LENGTH, windows: int = OP
             )
 
         for batch in batches:
-            for first, last, ids, counts in encoded(batch.column(1), tokenizer, end_id):
-                data, at = ids.tobytes(), 0
+            for first, last, ids, counts in encoded(batch.column(1), tokenizer, end_id, SLICE_BYTES):
+                data, at = memoryview(ids).cast("B"), 0
                 docs = batch.column(0).slice(first, last - first).to_pylist()
                 for doc, total in zip(docs, counts.tolist()):
                     for start in range(0, total, length):
                         size = min(length, total - start)
-                        own = data[4 * (at + start) : 4 * (at + start + size)]
+                        own = bytes(data[4 * (at + start) : 4 * (at + start + size)])
                         for done in state.add(size, (doc, start, size, total, own, piece)):
                             emit(done, False)
                         piece += 1
                     at += total
-                    if len(rows) >= 4096:
+                    if len(rows) >= PIECES_AT_ONCE:
                         yield flush()
                         rows.clear()
         for rest in state.rest():
             emit(rest, True)
         if rows:
             yield flush()
+        rows.clear()
+        give_back()
 
     texts = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(run, PIECE_SCHEMA)

@@ -26,6 +26,8 @@ PIECES_BYTES = 16 << 20
 # Chunks beyond so many bytes are encoded each time.
 LONGEST_KNOWN = 256
 SLICE_BYTES = 1 << 22
+# Characters that the library encodes in one call.
+WHOLE_AT_ONCE = 1 << 16
 _SPACE = r" \t\n\r\f\v"
 # White space beyond ASCII, characters that some libraries count as such, and the start of special tokens.
 _UNSURE = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]|<\|"
@@ -125,9 +127,15 @@ class Encoder:
         self.known = Known(TABLE_BYTES)
 
     def whole(self, texts: Sequence[str]) -> list[bytes]:
-        """Ids of each text straight from the library."""
-        encoded = self.library.encode_batch_fast(list(texts), add_special_tokens=False)
-        return [array("I", encoding.ids).tobytes() for encoding in encoded]
+        """Ids of each text straight from the library, a bounded number of characters at a time: its results take far more room than ids."""
+        out, first, room = [], 0, 0
+        for last, text in enumerate(texts, 1):
+            room += len(text)
+            if room >= WHOLE_AT_ONCE or last == len(texts):
+                encoded = self.library.encode_batch_fast(list(texts[first:last]), add_special_tokens=False)
+                out += [array("I", encoding.ids).tobytes() for encoding in encoded]
+                first, room = last, 0
+        return out
 
     def _merged(self, piece: str) -> bytes:
         """Ids of one certain piece from the library's merge model, which works on bytes written as characters."""
@@ -220,10 +228,12 @@ def encoder(path: str) -> Encoder:
     return store[key]
 
 
-def encoded(texts: pa.Array, path: str, end_id: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def encoded(
+    texts: pa.Array, path: str, end_id: int, slice_bytes: int = SLICE_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of ``texts`` as (first row, last row, ids, counts), the end id behind every text."""
     coder = encoder(path)
-    for first, last in slices(texts, SLICE_BYTES):
+    for first, last in slices(texts, slice_bytes):
         ids, counts = coder.encode(texts.slice(first, last - first))
         ends = np.cumsum(counts)
         yield first, last, np.insert(ids, ends, end_id).astype("<u4"), counts + 1
