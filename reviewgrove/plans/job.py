@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorSlicer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewgrove.operators.choice import best_terms, label_counts, term_chi_square
@@ -18,7 +18,7 @@ from reviewgrove.operators.vectors import TfIdf, vocabulary_of
 from reviewgrove.plans import tuning
 from reviewgrove.plans.features import ID, LABEL, TFIDF, WORDS_STEMMED, review_words, weight_stage
 from reviewgrove.plans.report import grid_scores, report
-from reviewgrove.plans.search import Ledger
+from reviewgrove.plans.search import FITTED, Ledger
 from reviewgrove.session import Staged, held, owning, stage
 from reviewgrove.sources.reviews import read_reviews, read_reviews_checked, spread
 from reviewgrove.sources.sinks import publish_csv, show
@@ -32,10 +32,14 @@ FOREST_FEATURES = 1 << 15
 _PARTS = 1 << 30
 
 
-def bounded_rows(df: DataFrame, limit: int = FOREST_ROWS) -> DataFrame:
-    """About ``limit`` rows by the hash of their id, without a sort; all rows if there are no more."""
+def bound(df: DataFrame, limit: int = FOREST_ROWS) -> Column:
+    """Whether a row is one of about ``limit`` by the hash of their id, without a sort; true for all rows if there are no more."""
     total = df.count()
-    return df if total <= limit else df.filter(F.pmod(F.xxhash64(ID), F.lit(_PARTS)) < _PARTS * limit // total)
+    return F.lit(True) if total <= limit else F.pmod(F.xxhash64(ID), F.lit(_PARTS)) < _PARTS * limit // total
+
+
+def bounded_rows(df: DataFrame, limit: int = FOREST_ROWS) -> DataFrame:
+    return df.filter(bound(df, limit))
 
 
 def bounded_features(model: PipelineModel, train: DataFrame, limit: int = FOREST_FEATURES) -> PipelineModel:
@@ -126,7 +130,8 @@ def learn(
 
     Vocabulary and weights come from the training part; ``fit_on_all`` takes all rows instead, which
     lets the test part influence its own features. The forest is fitted on at most about ``forest_rows`` of the
-    training rows and on the ``forest_features`` terms that depend most on the label; all test rows are scored.
+    training rows and on the ``forest_features`` terms that depend most on the label; the search scores all rows of
+    a fold, and all test rows are scored.
     ``ledger`` names a folder for finished models; a second start with the same data and grid goes on from there.
     """
     with owning(reviews.sparkSession) as staged:
@@ -149,7 +154,8 @@ def _learn(
     n_terms = len(vocabulary_of(features_model))
     kept = Ledger(spark, ledger) if ledger is not None else None
     features = narrow.transform(words).select(ID, LABEL, FOLD, PART, TFIDF)
-    with held(bounded_rows(features.filter(F.col(PART) == TRAIN), forest_rows).drop(PART)) as train:
+    train = features.filter(F.col(PART) == TRAIN).drop(PART)
+    with held(train.withColumn(FITTED, bound(train, forest_rows))) as train:
         if with_indexers:
             stages = tuning.indexed_stages(train, grid, FOLD, parallelism, seed, kept)
         else:

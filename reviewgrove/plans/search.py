@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from reviewgrove.session import held
 
+# Marks the rows a forest is fitted on, where not all are.
+FITTED = "fitted"
 _SCORES = "run string, point int, fold int, score double"
 
 
@@ -94,11 +96,12 @@ class LedgerValidator(CrossValidator):
 
 
 def run_key(dataset: DataFrame, estimator: RandomForestClassifier, points: list[dict], column: str, folds: int) -> str:
-    """Tells searches apart: the labels, features and folds of the rows, all points and the parameters of the forest.
+    """Tells searches apart: the labels, features, folds and marks of the rows, all points and the parameters of the forest.
 
     One pass over the training rows; the checksum does not depend on their order.
     """
     names = [column, estimator.getLabelCol(), estimator.getFeaturesCol()]
+    names += [name for name in (FITTED,) if name in dataset.columns]
     mark = dataset.select(F.xxhash64(*[F.col(n).cast("string") if n == names[2] else F.col(n) for n in names]).alias("h"))
     rows = mark.agg(F.count(F.lit(1)), F.bit_xor("h"), F.sum(F.pmod("h", F.lit(1 << 31)))).first()
     own = {param.name: value for param, value in estimator.extractParamMap().items()}

@@ -13,6 +13,7 @@ from reviewgrove import session
 from reviewgrove.operators.vectors import vocabulary_of
 from reviewgrove.plans import job, tuning
 from reviewgrove.plans.features import weight_stage
+from reviewgrove.plans.search import Ledger, fold_shares, out_of_fold
 
 GRID = tuning.Grid({"bootstrap": [True], "maxDepth": [2, 4], "numTrees": [3], "minInfoGain": [0.0], "impurity": ["gini"]}, 2)
 GOOD = "great wonderful loving superb enjoyed".split()
@@ -119,3 +120,21 @@ def test_bounds_of_the_forest(spark):
     # w3 is the label itself, w2 comes closest to it.
     for r in small.collect():
         assert list(r.tfidf.toArray()) == list(full[r.doc_id].toArray()[2:4])
+
+
+def test_search_scores_all_rows_of_a_bounded_forest(spark, reviews_path, tmp_path):
+    """The forest may be fitted on fewer rows; the scores and out-of-fold predictions are of all training rows."""
+    reviews = spark.read.json(reviews_path)
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    result = job.learn(reviews, grid=GRID, forest_rows=90, ledger=ledger.path)
+    n_train = reviews.count() - result.predictions.count()
+    marked = result.train.filter("fitted").count()
+    assert result.train.count() == n_train > marked > 50
+    scored = out_of_fold(result.train, ledger, result.run, [0, 1], GRID.folds)
+    shares = {(r.point, r.fold): (r.n_rows, r.share) for r in fold_shares(scored, "label").collect()}
+    assert sum(n for (point, _), (n, _) in shares.items() if point == 0) == n_train
+    kept = {(r.point, r.fold): r.score for r in ledger.rows().collect()}
+    assert kept == {key: pytest.approx(share) for key, (_, share) in shares.items()}
+    other = job.learn(reviews, grid=GRID, forest_rows=60, ledger=ledger.path)
+    assert other.run != result.run
+    assert other.train.filter("fitted").count() < marked
