@@ -1,10 +1,10 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text gives every document a perplexity.
 
 The model predicts the bytes of every word, and its end, from up to four symbols before them; these run across the ends of words up to
-the start of the text, so the order of words counts. The n-grams of the trusted documents, a bounded number of labelled ones, are
+the start of the text, so the order of words counts. The n-grams of all trusted documents are
 counted in Spark; discounts, continuation counts and interpolated probabilities come from joins of the count tables, order by
 order. The tables are dealt into shards by the two symbols before the predicted one, so that every event is looked up in one shard.
-An event is not joined as a row, since a text has as many as bytes: the shards, whose size is bounded with the number of trusted documents, are
+An event is not joined as a row, since a text has as many as bytes: the shards, each of bounded size, are
 broadcast to the tasks that read the texts, and every task looks up each different n-gram of a run of texts once.
 A document is kept if its perplexity per byte is at most the threshold of its language: a high quantile of the trusted
 documents held out of the counts, with a margin.
@@ -41,8 +41,8 @@ START, END = 256, 257
 OUTCOMES = 257
 # Rows of the model in one broadcast shard, 12 bytes each.
 SHARD_ROWS = 4_000_000
-# Labelled documents that the model and the thresholds are fitted on.
-TRUSTED_DOCUMENTS = 1_000_000
+# Ids of trusted documents that are broadcast at most; more of them meet the texts by a shuffle.
+BROADCAST_IDS = 1 << 22
 # Of the trusted documents, one in so many is held out for the thresholds, by the hash of its text.
 HELD_OUT = 8
 QUANTILE = 0.995
@@ -77,19 +77,15 @@ def events(found: Words) -> tuple[np.ndarray, np.ndarray]:
     return grams, counts
 
 
-def trusted(labels: DataFrame, limit: int = TRUSTED_DOCUMENTS) -> DataFrame:
-    """``doc_id`` of documents with labels that call them good and not toxic, and none that does not.
+def trusted(labels: DataFrame) -> DataFrame:
+    """``doc_id`` of all documents with labels that call them good and not toxic, and none that does not.
 
-    Of more than ``limit`` documents a share by hash. The bound makes the ids fit for a broadcast, so that no text is
-    shuffled for its label.
+    Up to BROADCAST_IDS of them are broadcast, so that no text is shuffled for its label.
     """
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     good = good.filter("doc_id IS NOT NULL AND quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
     good = stage(good, "trusted-ids")
-    total, parts = good.count(), 1 << 30
-    if total > limit:
-        good = good.filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < parts * limit // total)
-    return F.broadcast(good)
+    return F.broadcast(good) if good.count() <= BROADCAST_IDS else good
 
 
 def held_out(text: Column) -> Column:

@@ -1,7 +1,7 @@
 """Keep documents that read like trusted text, by base rules and a log-likelihood ratio of hashed n-grams.
 
 Words and pairs of neighbouring words are hashed into a fixed number of buckets. Two multinomials over the buckets are
-counted, one on all documents and one on a bounded number of trusted ones, and the score of a document is the mean over its n-grams of
+counted, one on all documents and one on all trusted ones that are not held out, and the score of a document is the mean over its n-grams of
 log(trusted / raw). A document is kept if no base rule fails and its score reaches the threshold. That one lies a
 margin below a low quantile of the scores of trusted documents held out of the counts.
 Everything is built from DataFrame functions; the counts cover all rows.
@@ -23,8 +23,8 @@ from reviewgrove.session import stage
 
 BUCKETS = 1 << 18
 SMOOTHING = 1.0
-# Labelled documents that the trusted counts and the threshold are fitted on.
-TRUSTED_DOCUMENTS = 200_000
+# Ids of trusted documents that are broadcast at most; more of them meet the texts by a shuffle.
+BROADCAST_IDS = 1 << 22
 # Of the trusted documents, one in so many is held out for the threshold, by the hash of its text.
 HELD_OUT = 4
 QUANTILE = 0.005
@@ -123,16 +123,14 @@ def bucket(value: Column) -> Column:
     return F.pmod(value, F.lit(BUCKETS)).cast("int")
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_DOCUMENTS) -> DataFrame:
-    """``doc_id, trusted`` of documents that have labels and only good ones; of more than ``limit`` a share by hash.
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """``doc_id, trusted`` of all documents that have labels and only good ones.
 
-    The bound on the number makes the table fit for a broadcast, so that no text is shuffled for its label.
+    Up to BROADCAST_IDS of them are broadcast, so that no text is shuffled for its label.
     """
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1 AND doc_id IS NOT NULL")
     good = stage(good.select("doc_id", F.lit(True).alias("trusted")), "trusted-ids")
-    total = good.count()
-    parts = 1 << 30
-    return good if total <= limit else good.filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < parts * limit // total)
+    return F.broadcast(good) if good.count() <= BROADCAST_IDS else good
 
 
 @dataclass(frozen=True)
@@ -160,7 +158,7 @@ def fit(df: DataFrame, labels: DataFrame) -> Ratio:
     """Count both multinomials on all rows of ``doc_id, text`` and find the threshold."""
     spark = df.sparkSession
     texts = df.select("doc_id", F.col("text").cast("string").alias("text"))
-    known = F.broadcast(trusted_ids(labels))
+    known = trusted_ids(labels)
     held = F.pmod(F.xxhash64(whole(F.col("text"))), F.lit(HELD_OUT)) == 0
     counted = texts.join(known, "doc_id", "left").select(
         words(F.col("text")).alias("_w"), (F.coalesce("trusted", F.lit(False)) & ~held).alias("good")

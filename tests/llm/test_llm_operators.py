@@ -12,6 +12,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from reviewgrove.llm import (
@@ -708,3 +709,20 @@ def test_words_in_bytes():
         flat = [w for own in expected for w in own]
         assert [found.data[s:e].tobytes().lower() for s, e in zip(found.starts, found.ends)] == [w.encode().lower() for w in flat]
         assert len(set(found.hashes.tolist())) == len(set(flat))
+
+
+def test_all_trusted_documents_count(spark, monkeypatch):
+    """No share of them, and the same verdicts whether their ids are broadcast or shuffled."""
+    many = spark.range(1_100_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert language_model.trusted(many).count() == quality_rules.trusted_ids(many).count() == 1_100_000
+    rows = [(i, " ".join(f"word{(i * k) % 40}" for k in range(1, 30 + i % 7)), "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 > 0).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+
+    def found(module):
+        return sorted(module.verdicts(docs, labels).collect(), key=lambda r: r.doc_id)
+
+    for module in (language_model, quality_rules):
+        expected = found(module)
+        monkeypatch.setattr(module, "BROADCAST_IDS", 10)
+        assert len(expected) == 200 and found(module) == expected
