@@ -207,3 +207,23 @@ def test_job_leaves_nothing_behind(spark, tmp_path):
         assert set(os.listdir(folder)) - before and result.accuracy.first().n_test > 10
     assert set(os.listdir(folder)) == before
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 1
+
+
+def test_indexer_learns_the_same_from_few_vectors(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(70):
+        cells = {0: 2.0, 1: float(i), 2: i % 3 - 1.0, 3: i % 2 * 1.5, 5: 1.0 + i % 4, 6: 1.0 + i % 5}
+        rows.append((i, Vectors.sparse(8, {k: v for k, v in cells.items() if k in (0, 5, 6) or rng.random() < 0.8})))
+    sparse = spark.createDataFrame(rows, ["doc_id", "v"]).repartition(3)
+    dense = spark.createDataFrame([(i, Vectors.dense(v.toArray())) for i, v in rows], ["doc_id", "v"])
+    for df in (sparse, dense, sparse.unionByName(dense)):
+        for most in (2, 4, 5):
+            expected = VectorIndexer(inputCol="v", outputCol="x", maxCategories=most).fit(df)
+            few = indexing.vector_values(df, "v", most)
+            found = indexing.fit_indexer(df, "v", "x", most)
+            assert few.count() == most + 1 and found.numFeatures == expected.numFeatures == 8
+            assert found.categoryMaps == expected.categoryMaps
+            assert found.transform(sparse).orderBy("doc_id").collect() == expected.transform(sparse).orderBy("doc_id").collect()
+    with pytest.raises(ValueError, match="no vectors"):
+        indexing.vector_values(sparse.limit(0), "v")
