@@ -7,15 +7,17 @@ import os
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import VectorIndexer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from reviewgrove import session
+from reviewgrove.functions import stemming
 from reviewgrove.operators import indexing, terms
-from reviewgrove.operators.choice import best_terms, label_counts, term_chi_square
-from reviewgrove.operators.vectors import vocabulary_of
+from reviewgrove.operators.choice import best_terms, label_counts, term_chi_square, term_impurity
+from reviewgrove.operators.vectors import TfIdf, vocabulary_of
 from reviewgrove.plans import job, tuning
 from reviewgrove.plans.features import weight_stage
 from reviewgrove.sources import reviews, sinks
@@ -227,3 +229,38 @@ def test_indexer_learns_the_same_from_few_vectors(spark):
             assert found.transform(sparse).orderBy("doc_id").collect() == expected.transform(sparse).orderBy("doc_id").collect()
     with pytest.raises(ValueError, match="no vectors"):
         indexing.vector_values(sparse.limit(0), "v")
+
+
+def test_frequencies_straight_from_the_words(spark, texts, cells):
+    df = spark.createDataFrame([*texts, (900, 1, []), (901, 1, None)], "doc_id long, label int, words array<string>")
+    found, expected = terms.word_frequencies(df, "words"), terms.document_frequencies(cells)
+    assert found.dtypes == expected.dtypes and sorted(found.collect()) == sorted(expected.collect())
+
+
+def test_impurity_of_a_split(spark, texts, cells):
+    df = spark.createDataFrame(texts, "doc_id long, label int, words array<string>")
+    found = {r.term: (r.df, r.impurity) for r in term_impurity(cells, label_counts(df)).collect()}
+    for term in {w for *_, ws in texts for w in ws}:
+        sides = [[own for _, own, ws in texts if (term in ws) is there] for there in (True, False)]
+        if not all(sides):
+            assert term not in found
+            continue
+        value = sum(len(side) - sum(c * c for c in Counter(side).values()) / len(side) for side in sides)
+        assert found[term] == (len(sides[0]), pytest.approx(value))
+
+
+def test_terms_of_a_model_are_broadcast(spark):
+    df = spark.createDataFrame([(i, [f"t{i % 3}", "all"]) for i in range(40)], "doc_id long, words array<string>")
+    model = TfIdf(inputCol="words", outputCol="tfidf", minDF=1).fit(df)
+    assert "ResolvedHint (strategy=broadcast)" in model.positions._jdf.queryExecution().analyzed().toString()
+
+
+def test_stemming_works_on_runs_of_words():
+    lists = pa.array([["a"] * n if n is not None else None for n in (3, None, 0, 9, 1, 1, 1, 0)])
+    parts = list(stemming.runs(lists, 4))
+    assert pa.concat_arrays(parts).equals(lists) and [len(p) for p in parts] == [3, 1, 4]
+    stems = stemming.Stems()
+    some = pa.array([["loving", None, "books"], None, [], ["loved"] * 5])
+    whole = stemming.stem_lists(some, stems).to_pylist()
+    assert [row for part in stemming.runs(some, 2) for row in stemming.stem_lists(part, stems).to_pylist()] == whole
+    assert list(stemming.runs(some.slice(0, 0), 2)) == []
