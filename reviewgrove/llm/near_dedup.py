@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reviewgrove.llm.batches import VISIBLE, mixed, slices, window_hashes, words
+from reviewgrove.llm.batches import VISIBLE, give_back, mixed, slices, window_hashes, words
 from reviewgrove.llm.components import components
 from reviewgrove.session import stage
 
@@ -54,8 +54,12 @@ HUBS = 32
 ORDERS = 3
 # Estimates below the threshold by this much are still confirmed on the sets: four standard errors.
 SLACK = 0.16
-# Shingles that one block keeps as sets at a time.
-SETS_HELD = 1 << 21
+# Pairs of a block that are looked at as Python numbers at a time.
+PAIRS_AT_ONCE = 1 << 14
+# Bytes of text that are cut into shingles at a time.
+SLICE_BYTES = 1 << 19
+# Classes of a block after which a worker gives its freed memory back.
+LARGE_BLOCK = 256
 BROADCAST_BYTES = 64 << 20
 HASHES = TREES * LEVELS
 _ROWS = 1 << 12
@@ -101,7 +105,7 @@ def describe(df: DataFrame, size: int) -> DataFrame:
         factors = multipliers()
         for batch in batches:
             texts = pc.fill_null(batch.column(2), "")
-            for first, last in slices(texts):
+            for first, last in slices(texts, SLICE_BYTES):
                 sizes, ids, keys, sketches = [], [], [], []
                 for shingles in shingle_sets(texts.slice(first, last - first), size):
                     sizes.append(len(shingles))
@@ -126,6 +130,7 @@ def describe(df: DataFrame, size: int) -> DataFrame:
                     ],
                     names=["doc_id", "text_hash", "n_shingles", "set_id", "keys", "sketch"],
                 )
+        give_back()
 
     text = F.col("text").cast("string")
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
@@ -246,10 +251,7 @@ def crowded_edges(regions: DataFrame, families: DataFrame, classes: DataFrame, p
 
     def links(table: pa.Table) -> pa.Table:
         columns = (table.column(n).to_pylist() for n in ("rep", "sketch", "group", "side", "n_shingles"))
-        found = linked(list(zip(*columns)), percent)
-        return pa.table(
-            {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
-        )
+        return pairs_of(linked(list(zip(*columns)), percent), len(table))
 
     return meetings(rows, BLOCK, percent).groupBy("block").applyInArrow(links, "a long, b long")
 
@@ -389,7 +391,8 @@ def linked(
             i = root[i]
         return i
 
-    first, second, estimates = [], [], []
+    # A block of near copies has a pair for any two of its classes, so a pair takes nine bytes here: two places and the number of equal values.
+    second, equal = [np.zeros(0, np.int32)], [np.zeros(0, np.uint8)]
     for i in range(n - 1):
         fits = 100 * np.minimum(sizes[i + 1 :], sizes[i]) >= percent * np.maximum(sizes[i + 1 :], sizes[i])
         fits &= groups[i + 1 :] != groups[i]
@@ -398,14 +401,17 @@ def linked(
         later = np.flatnonzero(fits) + i + 1
         share = agreement(matrix[i], matrix[later])
         near = share >= percent / 100 - SLACK
-        first.append(np.full(int(near.sum()), i))
-        second.append(later[near])
-        estimates.append(share[near])
+        second.append(later[near].astype(np.int32))
+        equal.append(np.rint(HASHES * share[near]).astype(np.uint8))
+    first = np.repeat(np.arange(-1, len(second) - 1, dtype=np.int32), [len(own) for own in second])
+    second = np.concatenate(second)
+    order = np.argsort(HASHES - np.concatenate(equal), kind="stable")
     links: list[tuple[int, int]] = []
-    if first:
-        pairs = np.stack([np.concatenate(first), np.concatenate(second)], axis=1)
-        order = np.argsort(-np.concatenate(estimates), kind="stable")
-        for i, j in pairs[order].tolist():
+    for at in range(0, len(order), PAIRS_AT_ONCE):
+        some = order[at : at + PAIRS_AT_ONCE]
+        roots = np.array([find(i) for i in range(n)])
+        some = some[roots[first[some]] != roots[second[some]]]
+        for i, j in zip(first[some].tolist(), second[some].tolist()):
             a, b = find(i), find(j)
             if a != b and (is_link is None or is_link(i, j)):
                 root[max(a, b)] = min(a, b)
@@ -415,25 +421,25 @@ def linked(
     return [(rows[i][0], rows[find(i)][0]) for i in touched if find(i) != i]
 
 
+def pairs_of(found: list[tuple[int, int]], n: int) -> pa.Table:
+    """The links of a block of ``n`` classes as a table ``a, b``. After a large block freed memory goes back."""
+    if n >= LARGE_BLOCK:
+        give_back()
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
 def confirm(rows: list[tuple[int, bytes, int, int, bytes]], percent: int) -> list[tuple[int, int]]:
-    """Links between the classes ``rep, sketch, group, side, shingles`` of a block, confirmed on the full sets."""
+    """Links between the classes ``rep, sketch, group, side, shingles`` of a block, confirmed on the full sets.
+
+    Sets are sorted numbers and are compared as they lie in ``shingles``, so none is held in another form.
+    """
     rows = sorted(dict((row[0], row) for row in rows).values())
     arrays = [np.frombuffer(row[4], "<u8") for row in rows]
-    sets: list[set | None] = [None] * len(rows)
-    held = 0
-
-    def members(i: int) -> set:
-        nonlocal held
-        if sets[i] is None:
-            if held > SETS_HELD:
-                sets[:], held = [None] * len(rows), 0
-            sets[i] = set(arrays[i].tolist())
-            held += len(arrays[i])
-        return sets[i]
 
     def is_link(i: int, j: int) -> bool:
-        common = len(members(i) & members(j))
-        return 100 * common >= percent * (len(arrays[i]) + len(arrays[j]) - common)
+        few, many = sorted((arrays[i], arrays[j]), key=len)
+        common = int(np.count_nonzero(many.take(np.searchsorted(many, few), mode="clip") == few))
+        return 100 * common >= percent * (len(few) + len(many) - common)
 
     return linked([(*row[:4], len(own)) for row, own in zip(rows, arrays)], percent, is_link)
 
@@ -454,20 +460,19 @@ def confirmed_links(df: DataFrame, blocks: DataFrame, classes: DataFrame, size:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
-            for first, last in slices(texts):
+            for first, last in slices(texts, SLICE_BYTES):
                 found = shingle_sets(texts.slice(first, last - first), size)
                 shingles = pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), shingles], names=["rep", "shingles"])
+        give_back()
 
     made = texts.select("rep", "text").mapInArrow(sets, "rep long, shingles binary")
     rows = blocks.join(made, "rep").select("rep", "sketch", "group", "block", "side", "shingles")
 
     def links(table: pa.Table) -> pa.Table:
-        columns = (table.column(n).to_pylist() for n in ("rep", "sketch", "group", "side", "shingles"))
-        found = confirm(list(zip(*columns)), percent)
-        return pa.table(
-            {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
-        )
+        columns = [table.column(n).to_pylist() for n in ("rep", "sketch", "group", "side")]
+        found = confirm(list(zip(*columns, [own.as_buffer() for own in table.column("shingles")])), percent)
+        return pairs_of(found, len(table))
 
     return rows.groupBy("block").applyInArrow(links, "a long, b long")
 
