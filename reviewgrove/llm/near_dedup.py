@@ -2,7 +2,8 @@
 
 1. Every text becomes the set of hashes of its word shingles, and texts with equal sets become one class.
 2. A class gets a signature of min-hashes, cut into trees. In every tree the classes that share the first values are a
-   region, which is looked at whole, in one task, up to REGION classes. A crowded region is deepened value by value: its classes
+   region, which is looked at whole, in one task, up to REGION classes. A larger one is cut into pieces, and as long as there are at most
+   ORDERS + 1 of them, any two are looked at together. Beyond that a region is crowded and is deepened value by value: its classes
    split into the regions of one value more, and only those that are still crowded go on. Besides, the classes of crowded regions are
    sorted by the values of the tree and then by the rest of the signature, so that the longest common prefixes are
    neighbours, and every class is compared with its neighbours on both sides.
@@ -11,7 +12,8 @@
    that and whose sizes fit meet in a block of two pieces of the region: no pair that shares the least depth in one tree is lost.
    Without crowded regions none of this is run.
 4. The full sets of a family come together and every pair that may reach the threshold is confirmed on them, unless it is
-   linked already. Families beyond the limits of a task, in classes or in bytes, are cut into blocks along several signature orders first; every block
+   linked already. Families beyond the limits of a task, in classes or in bytes, are cut into pieces, and up to ORDERS + 1 pieces any two are a
+   block, so no pair is left out. Larger families are cut into blocks along several signature orders first; every block
    also gets the most central classes of the family. Any two classes of such a family that this leaves in different groups and
    whose sizes fit then meet in a block of two pieces of the family, so no pair is left out.
 5. Components of confirmed links, and of the documents in each class, are the groups.
@@ -146,15 +148,16 @@ def window_keys(prefixes: np.ndarray) -> np.ndarray:
 
 
 def agreement(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Share of equal sketch bytes."""
-    return (many == one).mean(axis=1)
+    """Share of equal sketch bytes. Eight of them are added up at a time: a byte of the sums is at most HASHES."""
+    sums = (many == one).view(np.uint64).sum(axis=1)
+    return ((sums * np.uint64(0x0101010101010101)) >> np.uint64(56)).astype(np.int64) / HASHES
 
 
-def chains(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+def chains(batches: Iterator[pa.RecordBatch], least: float, limit: int | None = None) -> Iterator[pa.RecordBatch]:
     """Edges between neighbours of sorted ``key, rep, sketch`` rows whose estimate reaches ``least``.
 
-    Rows of a region come one after another. They are taken in cuts of at most REGION rows, and a cut begins with
-    the last rows of the one before. Only crowded regions have more than one cut.
+    Rows of a region come one after another and are taken as a whole. With a ``limit`` they are taken in cuts of at most so many
+    rows, and a cut begins with the last rows of the one before.
     """
     key, reps, sketches = None, [], []
 
@@ -186,7 +189,7 @@ def chains(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
 
     for batch in batches:
         for own, rep, sketch in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if own != key or len(reps) >= REGION:
+            if own != key or len(reps) == limit:
                 if (out := cut(0 if own != key else OVERLAP)) is not None:
                     yield out
                 key = own
@@ -196,6 +199,40 @@ def chains(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
         yield out
 
 
+def pieces(load: Column) -> Column:
+    """How many pieces a group is cut into whose classes fill so many blocks: two of them fill one."""
+    return F.ceil(load * 2).cast("int")
+
+
+def in_pairs(load: Column) -> Column:
+    """Whether a group of more than one block is cut into so few pieces that any two of them can be a block: a class is in no more
+    blocks then than several orders would put it into."""
+    return pieces(load) <= ORDERS + 1
+
+
+def paired(rows: DataFrame, unit: str, load: Column) -> DataFrame:
+    """``rows`` with ``block`` and ``side``, once for each block of a class. Any two pieces of a unit are a block, so all its pairs meet.
+
+    The classes of a piece meet on side 0, in the block with the next piece; elsewhere they only meet those of the other piece.
+    """
+    n_pieces, own, other = F.greatest(pieces(load), F.lit(2)), F.col("_piece"), F.col("_other")
+    split = rows.withColumn("_pieces", n_pieces).withColumn("_piece", F.pmod(F.xxhash64("rep"), F.col("_pieces")).cast("int"))
+    split = split.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).filter(own != other)
+    block = F.xxhash64(unit, F.least(own, other), F.greatest(own, other))
+    side = F.when(other == F.pmod(own + 1, F.col("_pieces")), 0).otherwise(own + 1)
+    return split.withColumns({"block": block, "side": side}).drop("_pieces", "_piece", "_other")
+
+
+def crowding() -> Column:
+    """How many blocks the classes of a region fill."""
+    return F.col("n") / BLOCK
+
+
+def is_crowded() -> Column:
+    """Whether a region of ``n`` classes has too many to be looked at whole, or in pairs of its pieces."""
+    return (F.col("n") > REGION) & ~in_pairs(crowding())
+
+
 def regions_of(classes: DataFrame) -> DataFrame:
     """``key, rep, tree, n``: the regions with more than one class."""
     each = classes.select("rep", F.posexplode("keys").alias("tree", "key"))
@@ -222,31 +259,33 @@ def deepened(crowded: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, leaves)
 
 
-def region_edges(regions: DataFrame, classes: DataFrame, percent: int, is_crowded: bool) -> DataFrame:
-    """Edges ``a, b`` between classes that may be similar, from all trees: all that small regions have; of crowded ones those
+def region_edges(regions: DataFrame, classes: DataFrame, percent: int, has_crowded: bool) -> DataFrame:
+    """Edges ``a, b`` between classes that may be similar, from all trees: all that small regions have, and those of a few pieces; of crowded ones those
     within the deeper regions that they split into, and those between neighbours in the sorted order, where common prefixes are longest."""
     rows = regions.join(classes.select("rep", "sketch"), "rep")
     least = percent / 100 - SLACK
 
-    def chained(part: DataFrame) -> DataFrame:
-        return part.select("key", "rep", "sketch").mapInArrow(lambda batches: chains(batches, least), "a long, b long")
+    def chained(part: DataFrame, limit: int | None = None) -> DataFrame:
+        return part.select("key", "rep", "sketch").mapInArrow(lambda batches: chains(batches, least, limit), "a long, b long")
 
     small = rows.filter(F.col("n") <= REGION).select("key", "rep", "sketch")
-    if not is_crowded:
+    few = paired(rows.filter((F.col("n") > REGION) & in_pairs(crowding())), "key", crowding())
+    small = small.unionByName(few.select(F.col("block").alias("key"), "rep", "sketch"))
+    if not has_crowded:
         return chained(small.repartition("key").sortWithinPartitions("key", "rep"))
-    crowded = stage(rows.filter(F.col("n") > REGION), "crowded-regions")
+    crowded = stage(rows.filter(is_crowded()), "crowded-regions")
     whole = small.unionByName(deepened(crowded)).repartition("key").sortWithinPartitions("key", "rep")
     # Sorted by the rest of the tree's own values first, then by all others.
     rest = F.substring("sketch", F.col("tree") * LEVELS + 1 + LEAST_DEPTH, F.lit(HASHES))
     ordered = crowded.withColumn("_order", F.concat(rest, "sketch"))
     ordered = ordered.repartitionByRange("key", "_order", "rep").sortWithinPartitions("key", "_order", "rep")
-    return chained(whole).unionByName(chained(ordered))
+    return chained(whole).unionByName(chained(ordered, REGION))
 
 
 def crowded_edges(regions: DataFrame, families: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Edges ``a, b`` between classes of a crowded region that may be similar and are in different families."""
     known = families.select(F.col("node").alias("rep"), F.col("component").alias("group"))
-    rows = regions.filter(F.col("n") > REGION).select(F.col("key").alias("unit"), "rep").join(known, "rep", "left")
+    rows = regions.filter(is_crowded()).select(F.col("key").alias("unit"), "rep").join(known, "rep", "left")
     rows = rows.withColumn("group", F.coalesce("group", "rep")).join(classes.select("rep", "sketch", "n_shingles"), "rep")
 
     def links(table: pa.Table) -> pa.Table:
@@ -262,7 +301,8 @@ def load(limit: int) -> Column:
 
 
 def blocks_of(families: DataFrame, classes: DataFrame) -> tuple[DataFrame, bool]:
-    """``rep, sketch, block``: a family is one block up to BLOCK classes; larger ones are cut along several orders.
+    """``rep, sketch, group, block, side``: a family is one block up to BLOCK classes; one of a few pieces has a block for any two of them, and
+    larger ones are cut along several orders.
 
     The place of a class in an order comes from the hash range of its signature values, so no family is sorted
     or counted in one task. Every block of a large family also gets the HUBS classes of the family whose leading
@@ -271,12 +311,14 @@ def blocks_of(families: DataFrame, classes: DataFrame) -> tuple[DataFrame, bool]
     """
     rows = families.withColumnRenamed("node", "rep").join(classes.select("rep", "sketch", "n_shingles"), "rep")
     rows = stage(rows.join(rows.groupBy("component").agg(load(BLOCK).alias("load")), "component"), "families")
-    small = rows.filter("load <= 1").select("rep", "sketch", F.col("component").alias("block"))
-    large = rows.filter("load > 1")
-    alone = {"group": F.col("rep"), "side": F.lit(0)}
+    columns = ["rep", "sketch", F.col("rep").alias("group"), "block", "side"]
+    few = paired(rows.filter((F.col("load") > 1) & in_pairs(F.col("load"))), "component", F.col("load"))
+    small = rows.filter("load <= 1").withColumns({"block": F.col("component"), "side": F.lit(0)}).select(*columns)
+    small = small.unionByName(few.select(*columns))
+    large = rows.filter((F.col("load") > 1) & ~in_pairs(F.col("load")))
     if not large.limit(1).count():
-        return small.withColumns(alone), False
-    n_blocks = F.ceil(F.col("load") * 2).cast("int")
+        return small, False
+    n_blocks = pieces(F.col("load"))
     orders = []
     for order in range(ORDERS):
         part = F.substring("sketch", order * LEVELS + 1, LEVELS)
@@ -293,9 +335,9 @@ def blocks_of(families: DataFrame, classes: DataFrame) -> tuple[DataFrame, bool]
     placed = placed.select("component", "rep", "sketch", block.alias("block"))
     hubs = _hubs(large)
     meeting = placed.select("component", "block").distinct().join(hubs, "component")
-    blocks = small.unionByName(placed.select("rep", "sketch", "block")).unionByName(meeting.select("rep", "sketch", "block"))
+    cut = placed.select("rep", "sketch", "block").unionByName(meeting.select("rep", "sketch", "block"))
     # A central class may come to a block twice; it is taken once there.
-    return blocks.withColumns(alone), True
+    return stage(small.unionByName(cut.withColumn("side", F.lit(0)).select(*columns)), "blocks"), True
 
 
 def band(percent: int) -> Column:
@@ -317,9 +359,9 @@ def meetings(rows: DataFrame, limit: int, percent: int) -> DataFrame:
     split = rows.join(top.filter("groups > 1").select("unit", "top"), "unit")
     split = stage(split.withColumns({"inner": F.col("group") == F.col("top"), "band": band(percent)}).drop("top"), "to-meet")
     place = ["unit", "band", "inner"]
-    pieces = split.groupBy(*place).agg(F.ceil(load(limit) * 2).cast("int").alias("pieces"))
-    placed = split.join(pieces, place).withColumn("piece", F.pmod(F.xxhash64("rep"), F.col("pieces")).cast("int"))
-    each = pieces.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
+    n_pieces = split.groupBy(*place).agg(pieces(load(limit)).alias("pieces"))
+    placed = split.join(n_pieces, place).withColumn("piece", F.pmod(F.xxhash64("rep"), F.col("pieces")).cast("int"))
+    each = n_pieces.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
     one = each.select("unit", *[F.col(name).alias(f"{name}_1") for name in ("band", "inner", "piece")])
     two = each.select("unit", *[F.col(name).alias(f"{name}_2") for name in ("band", "inner", "piece")])
     first, second = F.struct("inner_1", "piece_1"), F.struct("inner_2", "piece_2")
@@ -341,7 +383,8 @@ def meetings(rows: DataFrame, limit: int, percent: int) -> DataFrame:
 def remaining_blocks(families: DataFrame, groups: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Blocks for the classes of large families that are not in one group yet."""
     sized = families.withColumnRenamed("node", "rep").join(classes.select("rep", "n_shingles"), "rep")
-    large = sized.groupBy("component").agg(load(BLOCK).alias("load")).filter("load > 1").select("component")
+    large = sized.groupBy("component").agg(load(BLOCK).alias("load"))
+    large = large.filter((F.col("load") > 1) & ~in_pairs(F.col("load"))).select("component")
     rows = families.join(large, "component").select(F.col("component").alias("unit"), F.col("node").alias("rep"))
     known = groups.select(F.col("node").alias("rep"), F.col("component").alias("group"))
     rows = rows.join(known, "rep", "left").withColumn("group", F.coalesce("group", "rep"))
@@ -398,10 +441,9 @@ def linked(
         fits &= groups[i + 1 :] != groups[i]
         if sides[i]:
             fits &= sides[i + 1 :] != sides[i]
-        later = np.flatnonzero(fits) + i + 1
-        share = agreement(matrix[i], matrix[later])
-        near = share >= percent / 100 - SLACK
-        second.append(later[near].astype(np.int32))
+        share = agreement(matrix[i], matrix[i + 1 :])
+        near = np.flatnonzero(fits & (share >= percent / 100 - SLACK))
+        second.append((near + i + 1).astype(np.int32))
         equal.append(np.rint(HASHES * share[near]).astype(np.uint8))
     first = np.repeat(np.arange(-1, len(second) - 1, dtype=np.int32), [len(own) for own in second])
     second = np.concatenate(second)
@@ -485,27 +527,25 @@ def grouped(df: DataFrame, size: int, percent: int) -> DataFrame:
     # A class has a number of its own, since one document number may come with several texts.
     classes = stage(known.groupBy("set_id").agg(one).select("set_id", F.xxhash64("set_id").alias("rep"), "one.*"), "classes")
     regions = stage(regions_of(classes), "regions")
-    is_crowded = bool(regions.filter(F.col("n") > REGION).limit(1).count())
-    families = components(stage(region_edges(regions, classes, percent, is_crowded), "may-be-similar"))
-    if is_crowded:
+    has_crowded = bool(regions.filter(is_crowded()).limit(1).count())
+    families = components(region_edges(regions, classes, percent, has_crowded))
+    if has_crowded:
         more = stage(crowded_edges(regions, families, classes, percent), "may-be-similar")
         if more.limit(1).count():
             known = families.select(F.col("node").alias("a"), F.col("component").alias("b"))
             families = components(known.unionByName(more))
     blocks, has_large = blocks_of(families, classes)
-    groups = components(confirmed_links(df, stage(blocks, "blocks"), classes, size, percent))
+    groups = components(confirmed_links(df, blocks, classes, size, percent))
     if has_large:
         rest = stage(remaining_blocks(families, groups, classes, percent), "remaining-blocks")
         if rest.limit(1).count():
             known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
             groups = components(known.unionByName(confirmed_links(df, rest, classes, size, percent)))
-    named = classes.join(groups, F.col("rep") == F.col("node"), "left").select(
-        "set_id", "doc_id", F.coalesce("component", "rep").alias("component")
-    )
-    named = stage(named, "named")
-    # The smallest document number of every component; each task takes its own smallest first.
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    ids = named.join(least, "component").select("set_id", "component_id")
+    # The smallest document number of every component; each task takes its own smallest first. A class without links has its own.
+    numbers = groups.join(classes.select("rep", "doc_id"), F.col("node") == F.col("rep"))
+    least = numbers.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = classes.select("set_id", "rep", "doc_id").join(groups.join(least, "component"), F.col("rep") == F.col("node"), "left")
+    ids = named.select("set_id", F.coalesce("component_id", "doc_id").alias("component_id"))
     return stage(described.select("doc_id", "text_hash", "n_shingles", "set_id").join(ids, "set_id", "left").drop("set_id"), "near-duplicates")
 
 
