@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from reviewgrove.llm.batches import VISIBLE, Words, beside, slices, words
-from reviewgrove.session import stage
+from reviewgrove.session import bound_batches, stage
 
 ORDER = 5
 BITS = 9
@@ -103,6 +103,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
                 keys, counts = np.unique(events(found)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64))], names=["gram", "c"])
 
+    bound_batches(texts.sparkSession)
     return texts.select("text").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 

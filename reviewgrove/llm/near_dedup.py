@@ -39,7 +39,7 @@ from pyspark.sql.window import Window
 
 from reviewgrove.llm.batches import VISIBLE, give_back, mixed, slices, window_hashes, words
 from reviewgrove.llm.components import components
-from reviewgrove.session import stage
+from reviewgrove.session import bound_batches, stage
 
 SHINGLE = 5
 PERCENT = 80
@@ -134,6 +134,7 @@ def describe(df: DataFrame, size: int) -> DataFrame:
                 )
         give_back()
 
+    bound_batches(df.sparkSession)
     text = F.col("text").cast("string")
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_id binary, keys array<long>, sketch binary")

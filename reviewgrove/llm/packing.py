@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from reviewgrove.llm.batches import give_back
 from reviewgrove.llm.tokens import encoded
-from reviewgrove.session import stage
+from reviewgrove.session import bound_batches, stage
 
 LENGTH = 2048
 END_ID = 1
@@ -131,6 +131,7 @@ def place(df: DataFrame, tokenizer: str, length: int = LENGTH, windows: int = OP
         rows.clear()
         give_back()
 
+    bound_batches(df.sparkSession)
     texts = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(run, PIECE_SCHEMA)
 

@@ -52,7 +52,9 @@ class Known:
         self.starts = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
         self.used = np.zeros(0, bool)
+        # The ids, and behind the first ``filled`` of them room for more.
         self.ids = np.zeros(0, np.uint32)
+        self.filled = 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Places of ``keys``; -1 for those that are not there."""
@@ -70,14 +72,18 @@ class Known:
         if self.nbytes() + 25 * len(keys) + ids.nbytes > self.limit:
             self._cut()
         at = np.searchsorted(self.keys, keys)
-        self.starts = np.insert(self.starts, at, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.starts = np.insert(self.starts, at, self.filled + np.cumsum(sizes) - sizes)
         self.sizes = np.insert(self.sizes, at, sizes)
         self.used = np.insert(self.used, at, True)
         self.keys = np.insert(self.keys, at, keys)
-        self.ids = np.concatenate([self.ids, ids])
+        filled = self.filled + len(ids)
+        if filled > len(self.ids):  # made longer in place
+            self.ids.resize(filled + filled // 8, refcheck=False)
+        self.ids[self.filled : filled] = ids
+        self.filled = filled
 
     def nbytes(self) -> int:
-        return 25 * len(self.keys) + self.ids.nbytes
+        return 25 * len(self.keys) + 4 * self.filled
 
     def _cut(self) -> None:
         kept = np.flatnonzero(self.used)
@@ -87,12 +93,25 @@ class Known:
         self.keys, self.sizes = self.keys[kept], self.sizes[kept]
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.used = np.zeros(len(kept), bool)
+        self.filled = len(self.ids)
 
 
-def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The runs ``values[start : start + size]`` behind one another."""
+def gathered(
+    values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, more: np.ndarray | None = None, filled: int = 0
+) -> np.ndarray:
+    """The runs ``values[start : start + size]`` behind one another. ``more`` stands behind the first ``filled`` values."""
     before = np.cumsum(sizes) - sizes
-    return values[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+    places = np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+    if more is None or not len(more):
+        return values[places]
+    beyond = np.flatnonzero(places >= filled)
+    found = more[places[beyond] - filled]
+    if len(beyond) == len(places):
+        return found
+    places[beyond] = 0
+    out = values[places]
+    out[beyond] = found
+    return out
 
 
 def byte_level() -> dict[int, str]:
@@ -198,13 +217,13 @@ class Encoder:
             chunk = found.data[found.starts[i] : found.ends[i]].tobytes().decode()
             chunks.append(f" {chunk}" if self.spaced and not at_start[i] else chunk)
         ids = self._of_chunks(chunks)
-        # All ids of this run in one array: those known before, then the new ones.
+        # New ids count on behind the known ones, but the table is not copied for them.
         starts, sizes = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         old = np.flatnonzero(known >= 0)
         starts[old], sizes[old] = self.known.starts[known[old]], self.known.sizes[known[old]]
         sizes[new] = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts[new] = len(self.known.ids) + np.cumsum(sizes[new]) - sizes[new]
-        values = gathered(np.concatenate([self.known.ids, np.frombuffer(b"".join(ids), np.uint32)]), starts[place], sizes[place])
+        starts[new] = self.known.filled + np.cumsum(sizes[new]) - sizes[new]
+        values = gathered(self.known.ids, starts[place], sizes[place], np.frombuffer(b"".join(ids), np.uint32), self.known.filled)
         short = [k for k, i in enumerate(at[new].tolist()) if found.ends[i] - found.starts[i] <= LONGEST_KNOWN]
         if short:
             self.known.add(keys[new[short]], [ids[k] for k in short])
@@ -229,11 +248,11 @@ def encoder(path: str) -> Encoder:
 
 
 def encoded(
-    texts: pa.Array, path: str, end_id: int, slice_bytes: int = SLICE_BYTES
+    texts: pa.Array, path: str, end_id: int, slice_bytes: int | None = None
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of ``texts`` as (first row, last row, ids, counts), the end id behind every text."""
     coder = encoder(path)
-    for first, last in slices(texts, slice_bytes):
+    for first, last in slices(texts, slice_bytes or SLICE_BYTES):
         ids, counts = coder.encode(texts.slice(first, last - first))
         ends = np.cumsum(counts)
         yield first, last, np.insert(ids, ends, end_id).astype("<u4"), counts + 1
