@@ -57,12 +57,15 @@ def many_terms(spark, tmp_path_factory):
     return written(spark, tmp_path_factory.mktemp("terms"), [" ".join(words[i % 2 :: 2]) for i in range(40)])
 
 
-@pytest.mark.parametrize("name", ["indexed_accuracy", "forest_accuracy"])
+@pytest.mark.parametrize("name", ["indexed_accuracy", "out_of_fold_scores", "forest_accuracy"])
 def test_forests_are_given_all_terms(spark, many_terms, given, learnt, name):
-    row = queries.REGISTERED[name](spark, many_terms).first()
+    rows = queries.REGISTERED[name](spark, many_terms).collect()
     assert given and {terms for _, terms in given} == {N_TERMS}
     assert all((result.n_terms, result.n_left_out) == (N_TERMS, 0) for result in learnt)
-    assert row.is_hit_share
+    if name == "out_of_fold_scores":
+        assert len(rows) == 4 and all(r.is_score and r.is_mean for r in rows)
+    else:
+        assert len(rows) == 1 and rows[0].is_hit_share
 
 
 def test_forests_are_given_all_rows(spark, given):
