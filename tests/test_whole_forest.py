@@ -7,6 +7,7 @@ from itertools import islice, product
 import pytest
 from pyspark.sql import functions as F
 
+from reviewgrove.operators.vectors import vocabulary_of
 from reviewgrove.plans import job, tuning
 from reviewgrove.plans.search import FITTED
 from reviewgrove.registry import queries
@@ -80,6 +81,14 @@ def test_forests_are_given_all_rows(spark, given):
         assert given[-1][0] == n_train == sum(rows for rows, _ in given[:-1])
 
 
+def test_learnt_rule_learns_from_all_terms(spark, tmp_path, given, learnt):
+    words = "river stone cloud ember frost".split()
+    sf_dir = written(spark, tmp_path, [" ".join(w for k, w in enumerate(words) if (i >> k) % 2) for i in range(200)])
+    row = queries.learnt_rule(spark, sf_dir).first()
+    assert (row.maxDepth, row.accuracy, row.two_terms) == (2, 1.0, True)
+    assert {terms for _, terms in given} == {len(vocabulary_of(learnt[0].features_model))} == {7} and learnt[0].n_left_out == 0
+
+
 def test_models_at_a_time():
     assert job.models_at_a_time(100, 1000, 4) == job.models_at_a_time(0, 0, 4) == 4
     assert job.models_at_a_time(15_000, 50_000, 4) == 2
